@@ -11,6 +11,7 @@ from candlespark.catalog.registry import NUDGE
 from candlespark.functions.numeric import to_double
 from candlespark.functions.time import unix_micros
 from candlespark.operators.bars import ohlcv, taker_buy_quantity
+from candlespark.session import materialize
 from candlespark.sources.reference_data import coin_metadata, sentiment, symbol_universe
 
 # Event types stand for symbols; the dimensions cover some of them, so that left joins find no match too.
@@ -82,6 +83,15 @@ def hourly_klines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_candles(spark: SparkSession, folder: str, sums: dict[str, Column] | None = None) -> DataFrame:
+    """Hourly candles as a table: series operators read their input twice (row counts, then rows)."""
+    return materialize(hourly_candles(spark, folder, sums), "candles")
+
+
+def stored_klines(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(hourly_klines(spark, folder), "klines")
+
+
 def kline_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly klines as exchange payloads: JSON arrays of text, open time in milliseconds."""
     k = hourly_klines(spark, folder)

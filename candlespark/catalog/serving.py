@@ -89,7 +89,7 @@ SELECT symbol, start_time, close, previous, CASE WHEN previous < 50 THEN 'up' EL
 WHERE (previous < 50 AND close >= 50) OR (previous >= 50 AND close < 50)""",
 )
 def price_alerts(spark, folder):
-    return indicators.price_alerts(_candles(spark, folder).select("symbol", "start_time", "close"), 50.0)
+    return indicators.price_alerts(b.stored_candles(spark, folder).select("symbol", "start_time", "close"), 50.0)
 
 
 # The checks run on the candles and on spoilt copies of them, so that every rule counts something.
@@ -124,7 +124,7 @@ SELECT symbol, start_time, (epoch_us(start_time) - epoch_us(previous)) // 360000
 FROM p WHERE start_time - previous > INTERVAL '1 hour'""",
 )
 def candle_gaps(spark, folder):
-    return quality.candle_gaps(_candles(spark, folder), "1 hour")
+    return quality.candle_gaps(b.stored_candles(spark, folder), "1 hour")
 
 
 @query(

@@ -15,19 +15,16 @@ from candlespark.sinks import candle_log
 from candlespark.sources.messages import read_message_files, trades_to_json
 from candlespark.streaming import trades as jobs
 
-_BATCHES = 4
-
-
-def message_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """All trades as JSON message files, read as a stream in about four micro-batches.
+def message_stream(spark: SparkSession, folder: str, batches: int = 4) -> DataFrame:
+    """All trades as JSON message files, read as a stream in about ``batches`` micro-batches.
 
     The number of files follows the cores of the cluster; files hold trades of all times, so that later
     batches correct candles of earlier ones.
     """
-    path, width = shared_dir(spark, "messages"), max(_BATCHES, spark.sparkContext.defaultParallelism)
+    path, width = shared_dir(spark, "messages"), max(batches, spark.sparkContext.defaultParallelism)
     messages = trades_to_json(b.trades(spark, folder)).select("value")
     messages.repartition(width, F.xxhash64("value")).write.text(path)
-    return parse_trades(read_message_files(spark, path, files_per_trigger=-(-width // _BATCHES)))
+    return parse_trades(read_message_files(spark, path, files_per_trigger=-(-width // batches)))
 
 
 def finish(*queries) -> None:
@@ -80,15 +77,14 @@ _TRADE_COLUMNS = """symbol, trade_id, price, quantity, is_buyer_maker, "timestam
 _TRADE_NAMES = ("symbol", "trade_id", "price", "quantity", "is_buyer_maker", "timestamp", "date", "hour")
 
 
-def _archive(spark, folder) -> DataFrame:
-    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
-    finish(jobs.start_archive(message_stream(spark, folder), paths.data("raw"), paths.checkpoint("raw"), True))
-    return spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("raw"))
-
-
 @query("raw_archive", f"WITH {_MS} SELECT {_TRADE_COLUMNS} FROM trades")
 def raw_archive(spark, folder):
-    return b.naive(_archive(spark, folder).select(*_TRADE_NAMES), "timestamp")
+    """All trades through the archive query, one micro-batch; several and a restart are tested apart."""
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    stream = message_stream(spark, folder, batches=1)
+    finish(jobs.start_archive(stream, paths.data("raw"), paths.checkpoint("raw"), available_now=True))
+    archived = spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("raw"))
+    return b.naive(archived.select(*_TRADE_NAMES), "timestamp")
 
 
 @query(
@@ -97,8 +93,18 @@ def raw_archive(spark, folder):
 SELECT date, hour, count(*) AS trades FROM (SELECT {_TRADE_COLUMNS} FROM trades) GROUP BY date, hour""",
 )
 def stream_trades(spark, folder):
-    """Source and parser, counted per archive partition."""
-    return _archive(spark, folder).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("trades"))
+    """Source and parser over several micro-batches, counted per hour."""
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    finish(
+        message_stream(spark, folder)
+        .writeStream.format("parquet")
+        .option("path", paths.data("parsed"))
+        .option("checkpointLocation", paths.checkpoint("parsed"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    parsed = spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("parsed"))
+    return parsed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("trades"))
 
 
 @query("stream_late_data")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from candlespark.catalog import bindings as b
 from candlespark.catalog.registry import CANDLE_COLUMNS, KLINES, TRADES, candles, query, r6, safe_ln
 from candlespark.operators import enrich, features, indicators, stats
-from candlespark.operators.blocks import CANDLES
-from candlespark.operators.bars import taker_buy_quantity
+from candlespark.operators.bars import ohlcv, taker_buy_quantity
+from candlespark.operators.blocks import CANDLES, Series
 from candlespark.plans import klines as kline_plans
 from candlespark.plans.prediction import next_bar_prediction as predict
+from candlespark.session import materialize
 
 _K = "symbol, open_datetime, close"
 _RETURN = f"{safe_ln('close')} - {safe_ln('lag(close) OVER w')}"
@@ -23,7 +24,7 @@ features AS (
 
 
 def _klines(spark, folder):
-    return b.hourly_klines(spark, folder)
+    return b.stored_klines(spark, folder)
 
 
 @query("log_return", f"WITH {_RETURNS} SELECT {_K}, {r6('log_return')} AS log_return FROM returns")
@@ -119,7 +120,7 @@ _W = "PARTITION BY symbol ORDER BY start_time"
 
 
 def _candles(spark, folder):
-    return b.hourly_candles(spark, folder)
+    return b.stored_candles(spark, folder)
 
 
 def _closes(spark, folder):
@@ -234,7 +235,7 @@ SELECT symbol, start_time, volume,
 FROM candles WINDOW f AS ({_W} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""",
 )
 def volume_analysis(spark, folder):
-    bars = b.hourly_candles(spark, folder, {"taker_buy_volume": taker_buy_quantity()})
+    bars = b.stored_candles(spark, folder, {"taker_buy_volume": taker_buy_quantity()})
     df = indicators.volume_analysis(bars.select("symbol", "start_time", "volume", "taker_buy_volume"))
     return b.rounded(df, "volume_ratio", "taker_buy_share").drop("taker_buy_volume")
 
@@ -297,11 +298,9 @@ FROM r WINDOW f AS ({_W} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)""",
 )
 def features_wide(spark, folder):
     """Windowed features over daily bars of many symbols; a year is numbered at a time."""
-    from candlespark.operators.bars import ohlcv
-    from candlespark.operators.blocks import Series
-
     bars = ohlcv(b.wide_trades(spark, folder), "1 day", tie=["trade_id", "line", "price"])
-    df = features.window_features(bars.select("symbol", "start_time", "close"), series=Series(chunk="365 days"))
+    bars = materialize(bars.select("symbol", "start_time", "close"), "bars")
+    df = features.window_features(bars, series=Series(chunk="365 days"))
     return b.rounded(df, "log_return", "sma_24h", "volatility_24h")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
     """Join on equal columns where null equals null; keeps the left columns once."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in names})
     condition = F.lit(True)
@@ -32,7 +32,7 @@ def exact_percentiles(
 
     # The stretch number is the count of cuts below the value, so it grows with the value.
     stretch = sum((F.when(F.col("_v") > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
-    placed = _join_on(rows, cuts, key, "left").withColumn("_stretch", stretch).drop("_cuts")
+    placed = join_on(rows, cuts, key, "left").withColumn("_stretch", stretch).drop("_cuts")
 
     # At most len(grid) + 1 rows per key from here to the choice of stretches.
     before = Window.partitionBy(*key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
@@ -57,7 +57,7 @@ def exact_percentiles(
     chosen = sizes.where(wanted).select(*key, "_stretch", "_base", "_total")
 
     # Equal values collapse before anything is sorted.
-    values = _join_on(placed, chosen, [*key, "_stretch"], "inner")
+    values = join_on(placed, chosen, [*key, "_stretch"], "inner")
     values = values.groupBy(*key, "_stretch", "_base", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
     inside = Window.partitionBy(*key, "_stretch").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     values = values.withColumn("_first", F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candlespark.functions.time import unix_micros
 from candlespark.operators.blocks import CANDLES, Series, over_series
 from candlespark.operators.features import log_return_column
+from candlespark.session import materialize
 
 LAGS = 5
 
@@ -22,17 +23,16 @@ def lagged_returns(candles: DataFrame, lags: int = LAGS, series: Series = CANDLE
         rows = rows.withColumn("log_return", log_return_column(price, w))
         return rows.withColumns({f"lag_{i}": F.lag("log_return", i).over(w) for i in range(1, lags + 1)})
 
-    return over_series(candles, series, lags + 1, add).dropna(subset=["log_return", f"lag_{lags}"] + [
-        f"lag_{i}" for i in range(1, lags)
-    ])
+    names = ["log_return", *[f"lag_{i}" for i in range(1, lags + 1)]]
+    return over_series(candles, series, lags + 1, add).dropna(subset=names)
 
 
 def next_bar_prediction(candles: DataFrame, train_share: float = 0.8, series: Series = CANDLES) -> DataFrame:
     """One row: intercept, coefficients and test error; the first part of the time span trains."""
-    rows = lagged_returns(candles, series=series)
+    rows = materialize(lagged_returns(candles, series=series), "lagged")  # read by fit and by evaluation
     names = [f"lag_{i}" for i in range(1, LAGS + 1)]
     micros = unix_micros(F.col(series.time))
-    span = candles.agg(F.min(micros).alias("lo"), F.max(micros).alias("hi")).first()
+    span = rows.agg(F.min(micros).alias("lo"), F.max(micros).alias("hi")).first()
     cut = span["lo"] + int((span["hi"] - span["lo"]) * train_share)
     data = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     model = LinearRegression(featuresCol="features", labelCol="log_return", solver="normal").fit(data.where(micros <= cut))
