@@ -8,6 +8,7 @@ from candlespark.catalog import bindings as b
 from candlespark.catalog.registry import query
 from candlespark.functions import text as t
 from candlespark.operators import stats
+from candlespark.operators.textclean import with_clean_text
 
 _CLEAN = f"""regexp_replace(regexp_replace(regexp_replace(text, '{t.SYMBOL_CLASS}', '', 'g'), '  +', ' ', 'g'),
   '{t.LINE_START_SPACE}', '\\1', 'g')"""
@@ -15,14 +16,13 @@ _CLEAN = f"""regexp_replace(regexp_replace(regexp_replace(text, '{t.SYMBOL_CLASS
 
 @query("clean_text", f"SELECT doc_id, {_CLEAN} AS cleaned FROM documents")
 def clean_text(spark, folder):
-    return b.table(spark, folder, "documents").select("doc_id", t.clean_text(F.col("text")).alias("cleaned"))
+    return with_clean_text(b.table(spark, folder, "documents").select("doc_id", "text")).drop("text")
 
 
 @query("clean_pages", f"SELECT page_id AS doc_id, {_CLEAN.replace('text,', 'html,')} AS cleaned FROM pages")
 def clean_pages(spark, folder):
-    return b.table(spark, folder, "pages").select(
-        F.col("page_id").alias("doc_id"), t.clean_text(F.col("html")).alias("cleaned")
-    )
+    pages = b.table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), "html")
+    return with_clean_text(pages, "html").drop("html")
 
 
 @query(

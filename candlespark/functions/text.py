@@ -23,6 +23,11 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(single_spaced, LINE_START_SPACE, "$1")
 
 
+def may_hold_symbols(text: Column) -> Column:
+    """False only for text without any of the symbols: all ASCII, or nothing from U+200D upward."""
+    return (F.octet_length(text) != F.length(text)) & text.rlike(r"[\x{200D}-\x{10FFFF}]")
+
+
 def words(text: Column) -> Column:
     """White-space separated words; no empty words."""
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
