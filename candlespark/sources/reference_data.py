@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from candlespark import schemas
 
@@ -34,16 +37,26 @@ SENTIMENT_ROWS = (
 )
 
 
+def inline(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A few literal rows as a relation of known size (rows given as tuples would have no size estimate)."""
+    columns = zip(*rows, strict=True) if rows else [() for _ in schema.names]
+    table = pa.table(
+        [pa.array(list(values), to_arrow_type(f.dataType)) for f, values in zip(schema.fields, columns, strict=True)],
+        schema.names,
+    )
+    return spark.createDataFrame(table, schema)
+
+
 def symbol_universe(spark: SparkSession, symbols=BATCH_SYMBOLS) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    return inline(spark, [(s,) for s in symbols], T.StructType([T.StructField("symbol", T.StringType())]))
 
 
 def coin_metadata(spark: SparkSession, rows=COIN_ROWS) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.COIN_METADATA)
+    return inline(spark, rows, schemas.COIN_METADATA)
 
 
 def sentiment(spark: SparkSession, rows=SENTIMENT_ROWS) -> DataFrame:
-    return spark.createDataFrame(list(rows), schemas.SENTIMENT)
+    return inline(spark, rows, schemas.SENTIMENT)
 
 
 def stream_names(symbols=STREAM_SYMBOLS) -> list[str]:

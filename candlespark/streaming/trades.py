@@ -6,12 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlespark import schemas
 from candlespark.operators.bars import ohlcv
+from candlespark.operators.indicators import price_alerts
 from candlespark.operators.ingest import dedup_trades
-from candlespark.sinks.candle_log import append_candle_log
+from candlespark.sinks.candle_log import append_candle_log, latest_candles_view
 
 
 @dataclass(frozen=True)
@@ -123,3 +124,21 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
             if not q.isActive and q.exception() is not None:
                 raise q.exception()
         spark.streams.resetTerminated()
+
+
+def alert_on_batch(path: str, target: str, threshold: float) -> Callable[[DataFrame, int], None]:
+    """A batch callback that writes the threshold crossings of the candles a batch changed.
+
+    Crossings need the candle before, so they are taken from the merged table, and kept where the
+    batch changed the candle. A repeated batch replaces its own alerts.
+    """
+
+    def alert(batch: DataFrame, batch_id: int) -> None:
+        merged = latest_candles_view(batch.sparkSession, path, batch_id).select("symbol", "start_time", "close")
+        changed = batch.sparkSession.read.schema(schemas.CANDLE).parquet(f"{path}/log/batch_id={batch_id}")
+        crossings = price_alerts(merged, threshold).join(
+            changed.select("symbol", "start_time"), ["symbol", "start_time"], "left_semi"
+        )
+        crossings.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    return alert
