@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from candlespark import schemas
 from candlespark.catalog import bindings as b
 from candlespark.catalog.registry import KLINES, TRADES, query, r6
 from candlespark.catalog.windows import _BASE, _META, _RETURNS, _SENT
@@ -92,7 +93,7 @@ def _loaded(spark, folder) -> str:
 
 @query("load_klines", f"WITH {KLINES} SELECT {_WAREHOUSE} FROM klines")
 def load_klines(spark, folder):
-    return b.naive(b.rounded(lake.table_since(spark, _loaded(spark, folder), FIRST_DAY), *_SUMS), "open_datetime")
+    return b.naive(b.rounded(lake.table_since(spark, _loaded(spark, folder), FIRST_DAY, schemas.WAREHOUSE_KLINE), *_SUMS), "open_datetime")
 
 
 @query(
@@ -101,7 +102,7 @@ def load_klines(spark, folder):
 WHERE partition_date >= DATE '2024-01-01'""",
 )
 def klines_since(spark, folder):
-    rows = lake.table_since(spark, _loaded(spark, folder), plans.FEATURES_SINCE)
+    rows = lake.table_since(spark, _loaded(spark, folder), plans.FEATURES_SINCE, schemas.WAREHOUSE_KLINE)
     return b.naive(rows.select("symbol", "open_datetime", "partition_date", "close"), "open_datetime")
 
 

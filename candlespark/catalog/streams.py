@@ -95,14 +95,7 @@ SELECT date, hour, count(*) AS trades FROM (SELECT {_TRADE_COLUMNS} FROM trades)
 def stream_trades(spark, folder):
     """Source and parser over several micro-batches, counted per hour."""
     paths = jobs.StreamPaths(shared_dir(spark, "stream"))
-    finish(
-        message_stream(spark, folder)
-        .writeStream.format("parquet")
-        .option("path", paths.data("parsed"))
-        .option("checkpointLocation", paths.checkpoint("parsed"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    finish(jobs.start_rows(message_stream(spark, folder), paths.data("parsed"), paths.checkpoint("parsed"), True))
     parsed = spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("parsed"))
     return parsed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("trades"))
 

@@ -13,6 +13,7 @@ LINE_START_SPACE = (
     r"(^|\n) [ \t\r\x0B\f\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]*"
 )
+# White space between words.
 WORD_BREAK = r"[ \t\n\r\f\x0B]+"
 
 
@@ -26,8 +27,3 @@ def clean_text(text: Column) -> Column:
 def may_hold_symbols(text: Column) -> Column:
     """False only for text without any of the symbols: all ASCII, or nothing from U+200D upward."""
     return (F.octet_length(text) != F.length(text)) & text.rlike(r"[\x{200D}-\x{10FFFF}]")
-
-
-def words(text: Column) -> Column:
-    """White-space separated words; no empty words."""
-    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")

@@ -97,7 +97,7 @@ def build_features(
     since: dt.date = FEATURES_SINCE,
     series: Series = KLINES,
 ) -> None:
-    klines = table_since(spark, table, since)
+    klines = table_since(spark, table, since, schemas.WAREHOUSE_KLINE)
     write_full(feature_rows(klines, metadata, sentiment, since, series), target, ["partition_date"])
 
 

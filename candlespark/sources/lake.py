@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlespark import schemas
 
@@ -51,9 +52,16 @@ def missing_symbols(present: DataFrame, universe: DataFrame) -> DataFrame:
     return universe.join(present.select("symbol").distinct(), "symbol", "left_anti")
 
 
-def table_since(spark: SparkSession, path: str, since: dt.date, by: str = "partition_date") -> DataFrame:
-    """Day-partitioned table from ``since`` on; files may differ in added columns."""
-    return spark.read.option("mergeSchema", "true").parquet(path).where(F.col(by) >= F.lit(since))
+def table_since(
+    spark: SparkSession, path: str, since: dt.date, schema: T.StructType | None = None, by: str = "partition_date"
+) -> DataFrame:
+    """Day-partitioned table from ``since`` on.
+
+    With ``schema`` no file is opened to plan the scan, and columns that older files lack are null. Without
+    it the schemas of all files are merged, which opens every file once.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    return rows_since(reader.parquet(path), since, by)
 
 
 def rows_since(df: DataFrame, since: dt.date, by: str = "partition_date") -> DataFrame:

@@ -13,6 +13,7 @@ from candlespark.operators.bars import ohlcv
 from candlespark.operators.indicators import price_alerts
 from candlespark.operators.ingest import dedup_trades
 from candlespark.sinks.candle_log import append_candle_log, latest_candles_view
+from candlespark.sources.messages import trades_to_json
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,25 @@ def start_archive(
     return _trigger(writer, every, available_now).start()
 
 
+def start_publish(
+    trades: DataFrame, checkpoint: str, options: dict[str, str], sink: str = "kafka", available_now: bool = False
+) -> StreamingQuery:
+    """Send trades as JSON messages: to a broker, or with ``sink="text"`` to message files."""
+    messages = trades_to_json(trades)
+    if sink == "text":
+        messages = messages.select("value")
+    writer = messages.writeStream.format(sink).options(**options).option("checkpointLocation", checkpoint)
+    return _trigger(writer, None, available_now).start()
+
+
+def start_rows(
+    rows: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Append rows as they come, without a key: a whole micro-batch is written at a time."""
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return _trigger(writer.outputMode("append"), None, available_now).start()
+
+
 def start_candles(
     trades: DataFrame,
     path: str,

@@ -144,6 +144,18 @@ def test_alerts_per_batch(spark, source):
     assert got == {(1, "up"), (2, "down")}
 
 
+def test_published_messages_are_the_source_of_the_next_job(spark, source):
+    folder, parts, add, everything = source
+    add(parts[0])
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    out = {"path": paths.data("published")}
+    run(jobs.start_publish(stream(spark, folder), paths.checkpoint("p"), out, sink="text", available_now=True))
+    again = stream(spark, paths.data("published"))
+    run(jobs.start_rows(again, paths.data("rows"), paths.checkpoint("rows"), available_now=True))
+    got = spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("rows")).select(*everything.columns)
+    assert rows(got) == sorted(parts[0])
+
+
 def test_broker_options():
     read = broker_read_options("host:9092", "trades")
     assert (read["subscribe"], read["startingOffsets"], read["failOnDataLoss"]) == ("trades", "earliest", "false")

@@ -110,7 +110,7 @@ def test_added_columns_are_read_from_old_and_new_files(spark, lake_root):
 def test_table_since_prunes_partitions(spark, lake_root, plan):
     table = shared_dir(spark, "warehouse")
     plans.load_range(spark, lake_root, table, DAY, DAY + dt.timedelta(days=2))
-    text = plan(lake.table_since(spark, table, DAY + dt.timedelta(days=1)).select("close"))
+    text = plan(lake.table_since(spark, table, DAY + dt.timedelta(days=1), schemas.WAREHOUSE_KLINE).select("close"))
     assert "PartitionFilters: [isnotnull(partition_date" in text and "ReadSchema: struct<close:double>" in text
 
 

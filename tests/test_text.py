@@ -1,7 +1,7 @@
-import pytest
 from pyspark.sql import functions as F
 
-from candlespark.functions.text import clean_text, words
+from candlespark.functions.text import clean_text
+from candlespark.operators.stats import word_count
 from candlespark.operators.textclean import with_clean_text
 
 CASES = {
@@ -31,6 +31,6 @@ def test_cleaner_on_literals(spark):
         assert row.cleaned == row.simple == (None if row.text is None else CASES[row.text]), repr(row.text)
 
 
-@pytest.mark.parametrize("text, expected", [("a  b\n\tc", ["a", "b", "c"]), ("", []), (" x ", ["x"])])
-def test_words(spark, text, expected):
-    assert spark.createDataFrame([(text,)], "t string").select(words(F.col("t")).alias("w")).first().w == expected
+def test_word_count(spark):
+    df = spark.createDataFrame([("a  b\n\ta",), ("",), (" x ",), (None,)], "text string")
+    assert {r.word: r.word_count for r in word_count(df).collect()} == {"a": 2, "b": 1, "x": 1}
