@@ -72,6 +72,23 @@ def candle_changes(spark, folder):
     return b.naive(candle_log.candle_changes(spark, path), "start_time", "end_time")
 
 
+@query(
+    "candle_changes_folded",
+    f"""WITH {_MS}, {candles()}
+SELECT symbol, start_time, end_time, CAST(1 AS BIGINT) AS inserts, close, trade_count FROM candles""",
+)
+def candle_changes_folded(spark, folder):
+    """The change feed applied in order: one insert per key, and the last change is the final candle."""
+    path, _ = _candle_table(spark, folder, "1 hour")
+    changes = candle_log.candle_changes(spark, path)
+    folded = changes.groupBy(*schemas.CANDLE_KEY).agg(
+        F.count_if(F.col("change") == "insert").alias("inserts"),
+        F.max_by("close", "batch_id").alias("close"),
+        F.max_by("trade_count", "batch_id").alias("trade_count"),
+    )
+    return b.naive(folded, "start_time", "end_time")
+
+
 _TRADE_COLUMNS = """symbol, trade_id, price, quantity, is_buyer_maker, "timestamp",
   CAST("timestamp" AS DATE) AS date, CAST(hour("timestamp") AS INTEGER) AS hour"""
 _TRADE_NAMES = ("symbol", "trade_id", "price", "quantity", "is_buyer_maker", "timestamp", "date", "hour")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlespark.catalog import bindings as b
-from candlespark.catalog.registry import CANDLE_COLUMNS, KLINES, TRADES, candles, query, r6, safe_ln
+from candlespark.catalog.registry import KLINES, TRADES, candles, query, r6, safe_ln
 from candlespark.operators import enrich, features, indicators, stats
 from candlespark.operators.bars import ohlcv, taker_buy_quantity
 from candlespark.operators.blocks import CANDLES, Series

@@ -28,7 +28,8 @@ def _with_start(df: DataFrame, ts: str, window: str, slide: str | None = None) -
 
     Grouping by the start alone, a plain timestamp, sorts and hashes faster than by the window struct.
     """
-    return df.withColumn("_window", F.window(ts, window, slide)).withColumn("_start", F.col("_window.start")).drop("_window")
+    windows = df.withColumn("_window", F.window(ts, window, slide))
+    return windows.withColumn("_start", F.col("_window.start")).drop("_window")
 
 
 def ohlcv(

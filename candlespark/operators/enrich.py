@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast on request only when Spark's own size estimate proves it to be this small.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -139,7 +139,7 @@ def incomplete_days(df: DataFrame, key: str = "symbol", day: str = "partition_da
 
 
 def dedup_trades(trades: DataFrame, watermark: str | None = None) -> DataFrame:
-    """One row per ``(symbol, trade_id)``: removes messages a producer sent twice.
+    """One row per ``(symbol, trade_id)``: removes messages a producer sent twice (the copies are equal).
 
     On a stream with a watermark the remembered keys are dropped after the watermark delay.
     """
