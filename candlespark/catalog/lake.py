@@ -16,7 +16,8 @@ from candlespark.session import shared_dir
 from candlespark.sinks import tables
 from candlespark.sources import lake
 
-FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 12, 31)
+# The whole accepted range, so that the range scans cover every row.
+FIRST_DAY, LAST_DAY = dt.date(2000, 1, 1), dt.date(2100, 1, 1)
 _GATED = f"""{KLINES}, gated AS (
   SELECT * FROM klines QUALIFY count(*) OVER (PARTITION BY symbol, partition_date) = 24)"""
 _LAKE = f"""open_time, open, high, low, close, volume, {r6("quote_asset_volume")} AS quote_asset_volume,
@@ -53,7 +54,7 @@ def land_klines(spark, folder):
 def lake_scan_day(spark, folder):
     """The day-range scan over the whole lake; single days and symbols are tested on their pruning."""
     root = _all_days(spark, folder)
-    return b.rounded(lake.scan_klines(spark, root, FIRST_DAY, LAST_DAY, list(b.EVENT_SYMBOLS)), *_SUMS)
+    return b.rounded(lake.scan_klines(spark, root, FIRST_DAY, LAST_DAY), *_SUMS)
 
 
 @query(
@@ -87,7 +88,7 @@ _WAREHOUSE = f"""{_LAKE}, open_datetime, CAST(year(open_datetime) AS VARCHAR) AS
 
 def _loaded(spark, folder) -> str:
     root, target = _all_days(spark, folder), shared_dir(spark, "warehouse")
-    plans.load_range(spark, root, target, FIRST_DAY, LAST_DAY, b.EVENT_SYMBOLS)
+    plans.load_range(spark, root, target, FIRST_DAY, LAST_DAY, symbols=None)
     return target
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from candlespark import schemas
 from candlespark.operators.bars import ohlcv
 from candlespark.operators.ingest import parse_trades
+from candlespark.operators.stats import word_count
 from candlespark.session import shared_dir
 from candlespark.sinks.candle_log import candle_changes, latest_candles_view
 from candlespark.sources.messages import broker_read_options, broker_write_options, read_message_files, trades_to_json
@@ -156,6 +157,15 @@ def test_published_messages_are_the_source_of_the_next_job(spark, source):
     assert rows(got) == sorted(parts[0])
 
 
+def test_word_count_of_a_text_stream(spark, tmp_path):
+    for i, line in enumerate(("a b a", "b  c")):
+        (tmp_path / f"{i}.txt").write_text(line + "\n")
+    counts = word_count(read_message_files(spark, str(tmp_path), 1).withColumnRenamed("value", "text"))
+    query = counts.writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start()
+    run(query)
+    assert {r.word: r.word_count for r in spark.table("counts").collect()} == {"a": 2, "b": 2, "c": 1}
+
+
 def test_broker_options():
     read = broker_read_options("host:9092", "trades")
     assert (read["subscribe"], read["startingOffsets"], read["failOnDataLoss"]) == ("trades", "earliest", "false")
