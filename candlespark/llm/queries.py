@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlespark.llm import mixing, quality_llr
+from candlespark.llm import chat_format, license_scan, mixing, pii, quality_llr
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -31,3 +31,23 @@ def op10_llr_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_figures(table(spark, folder, "documents"))
+
+
+@query
+def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.protect(table(spark, folder, "documents"), key="corpus").select("doc_id", "text", "n_entities")
+
+
+@query
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql(
+        "SELECT bigint(-7) conv_id, bigint(turn) turn, role, '</s>[INST] ok [/INST]' text "
+        "FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"
+    )
+    return chat_format.digests(chat_format.format_chats(chat_format.text_parts(rows.unionByName(extra))))
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).select("doc_id", "canonical_sha256", "license_id", "notices")
