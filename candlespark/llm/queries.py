@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlespark.llm import chat_format, license_scan, mixing, pii, quality_llr
+from candlespark.llm import chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, topk_search
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -51,3 +52,41 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents")).select("doc_id", "canonical_sha256", "license_id", "notices")
+
+
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), byte_bpe())
+
+
+@query
+def op9_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, folder, "documents"), size=4)
+    return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+
+
+@query
+def op7_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return pu_quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_norm_bucket_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op2_norm_bucket_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
