@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm import chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, topk_search
+from candlespark.llm import chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, topk_search
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -90,3 +90,8 @@ s AS (
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
+
+
+@query
+def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"), 400).drop("spans")

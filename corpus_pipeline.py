@@ -7,9 +7,11 @@ to the shared folder and goes on from there, so a lost executor costs one stage
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlespark.llm import quality_llr
+from candlespark.llm import mixing, near_dedup, packing, pii, quality_llr
 from candlespark.llm.common import table
+from candlespark.llm.queries import byte_bpe
 from candlespark.session import configure, materialize
 
 
@@ -17,7 +19,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_llr.keep_good(docs, table(configure(spark), sf_dir, "labels"))
 
 
-STAGES = [("quality_rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shingles of five words, similarity 0.8; the smallest ``doc_id`` of each group stays."""
+    configure(spark)
+    return near_dedup.keep_one(docs)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
+    safe = pii.protect(docs, key="corpus").drop("n_entities")
+    return safe.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns) if "n_chars" in docs.columns else safe
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return mixing.mix(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return packing.pack(docs, byte_bpe())
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("private_data", private_data),
+    ("source_mix", source_mix),
+    ("best_fit_packing", best_fit_packing),
+]
 
 #: The hashed n-gram verdict, the surrogates' keyed digests and the packing search have no SQL form.
 ORACLE_SQL = None
