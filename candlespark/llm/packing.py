@@ -14,6 +14,7 @@ like any other. An empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -26,8 +27,8 @@ END_ID = 0
 BLOCKS = 256
 CACHE_ROWS = 300_000
 #: Steps of the search; a count, so that reruns agree.
-NODES = 3000
-FILLINGS = 60
+NODES = 100
+FILLINGS = 30
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -105,33 +106,41 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """The larger of total over capacity and the bound of Martello and Toth over all thresholds."""
-    best = -(-sum(s * n for s, n in counts.items()) // capacity)
-    for k in {0, *(s for s in counts if s <= capacity // 2)}:
-        large = sum(n for s, n in counts.items() if s > capacity - k)
-        middle = [(s, n) for s, n in counts.items() if capacity / 2 < s <= capacity - k]
-        small = sum(s * n for s, n in counts.items() if k <= s <= capacity / 2)
-        bins = sum(n for _, n in middle)
-        room = bins * capacity - sum(s * n for s, n in middle)
-        best = max(best, large + bins + max(0, -(-(small - room) // capacity)))
+    number, volume = [0] * (capacity + 2), [0] * (capacity + 2)
+    for s in range(capacity, 0, -1):  # of lengths from s on
+        n = counts.get(s, 0)
+        number[s], volume[s] = number[s + 1] + n, volume[s + 1] + s * n
+    best, half = -(-volume[1] // capacity), capacity // 2 + 1
+    for k in range(1, capacity // 2 + 1):
+        large, bins = number[capacity - k + 1], number[half] - number[capacity - k + 1]
+        room = bins * capacity - (volume[half] - volume[capacity - k + 1])
+        best = max(best, large + bins + max(0, -(-(volume[k] - volume[half] - room) // capacity)))
     return best
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
     """Best fit, longest first, on counts: ``(bins, {length: documents in each})``."""
-    groups: dict[int, list[tuple[int, dict[int, int]]]] = {capacity: []}
+    groups: dict[int, list[tuple[int, dict[int, int]]]] = {}
+    rooms = 0  # bit r: there are bins with room r
     for size in sorted(counts, reverse=True):
         left = counts[size]
         while left:
-            room = min((r for r, g in groups.items() if r >= size and g), default=None)
-            if room is None:
-                bins, held, room = -(-left // (capacity // size)), {}, capacity
-            else:
+            fitting = rooms >> size
+            if fitting:
+                room = size + (fitting & -fitting).bit_length() - 1
                 bins, held = groups[room].pop()
+                if not groups[room]:
+                    rooms ^= 1 << room
+            else:
+                bins, held, room = -(-left // (capacity // size)), {}, capacity
             each = min(room // size, left)
             full = min(bins, left // each)
+            parts = [(full, held | {size: each}, room - each * size)]
             if bins > full and held:
-                groups[room].append((bins - full, held))
-            groups.setdefault(room - each * size, []).append((full, held | {size: each}))
+                parts.append((bins - full, held, room))
+            for n, own, space in parts:
+                groups.setdefault(space, []).append((n, own))
+                rooms |= 1 << space
             left -= full * each
     return [g for group in groups.values() for g in group]
 
@@ -150,8 +159,8 @@ def fillings(counts: dict[int, int], room: int, waste: int, most: int) -> list[d
         steps += 1
         if steps > 40 * most or len(found) >= most:
             return
-        rest = next((i for i in range(at, len(sizes)) if sizes[i] <= left), None)
-        if rest is None:
+        rest = max(at, bisect_left(sizes, -left, key=lambda s: -s))
+        if rest == len(sizes):
             if left <= waste:
                 spare = {s for s in sizes if counts[s] > held.get(s, 0)}
                 if not any(s + left >= t > s for s in held for t in spare):

@@ -133,4 +133,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with the columns they had."""
     weights = fit_weights(docs, labels)
     packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("packed_row"))
-    return judge(packed, weights).filter("kept").select("packed_row.*")
+    # A generator, not a filter: a filter would be pushed down with all its expressions and compute them again per use.
+    return judge(packed, weights).select(F.inline(F.filter(F.array("packed_row"), lambda _: F.col("kept"))))
