@@ -5,10 +5,10 @@ for the bands, their lowest ``BITS`` bits packed into longs. Texts of equal sets
 band are candidates; bit counts over the packed signatures estimate their similarity, corrected for chance
 agreement, and estimates clearly below the threshold are dropped; the rest is confirmed on full sets.
 
-A band's members are not paired with each other: first each is compared with the band's smallest class. Bands whose
-members are linked by then need nothing more; in the others, members of different components are compared, all of
-them, inside a join that keeps only pairs whose estimate passes. So a large group of copies costs one pair per
-member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
+A band's members are not paired with each other: first each is compared with the band's smallest class, then in
+``ROUNDS`` rounds with one drawn for each band. Bands whose members are linked by then need nothing more; in the
+others, members of different components are compared, all of them, inside a join that keeps only pairs whose
+estimate passes. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
 
 Edge cases: a text with fewer words than ``size`` has its whole sequence as one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component. Repeated rows have equal sets, hence one component.
@@ -29,6 +29,8 @@ HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
 #: Estimates below the threshold by more than this are dropped: about 4.8 deviations.
 MARGIN = 0.2
+#: Rounds that compare members of a band with one of them before all are compared.
+ROUNDS = 2
 
 
 def _hashing():
@@ -167,7 +169,7 @@ def components(edges: DataFrame) -> DataFrame:
     return current.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets overlap enough."""
     one = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a")
     two = one.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
@@ -204,19 +206,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     wanted = classes.join(taking_part, "class").select("class", "text_key")
     texts = keyed.join(wanted.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
     sets = materialize(shingle_sets(texts, size).join(wanted, "text_key").select("class", "shingles"), "near-sets")
-    links = materialize(_confirm(stars, sets, slim, percent), "near-links")
-    roots = components(links)
-
-    # Second step: members of one band that are still apart.
-    members = banded.select("band", "class").join(roots, F.col("class") == F.col("node"), "left").select("band", "class", F.coalesce("root", "class").alias("root"))
-    apart = members.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("band")
-    members = materialize(members.join(apart, "band").join(slim, "class"), "near-members")
-    x, y = members.alias("x"), members.alias("y")
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & promising("x", "y"))
-    more = more.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialize(_confirm(more, sets, slim, percent), "near-more")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    links = materialize(_confirm(stars, sets, percent), "near-links")
+    tested, roots = stars, components(links)
+
+    # Second step: members of one band that are still apart. A few rounds compare them with one member per band,
+    # drawn anew for each band and round; then those of different components are compared, all of them.
+    banded = banded.select("band", "class")
+    for turn in range(ROUNDS + 1):
+        members = banded.join(roots, F.col("class") == F.col("node"), "left").select("band", "class", F.coalesce("root", "class").alias("root"))
+        apart = members.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("band")
+        members = materialize(members.join(apart, "band").join(slim, "class"), "near-members")
+        other = members
+        if turn < ROUNDS:
+            drawn = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("band", "class", F.lit(turn)).alias("lot"), "class")).alias("drawn"))
+            other = members.join(drawn.select("band", F.col("drawn.class").alias("class")), ["band", "class"])
+        x, y = members.alias("x"), other.alias("y")
+        ordered = F.col("x.class") < F.col("y.class") if turn == ROUNDS else F.lit(True)
+        more = x.join(y, (F.col("x.band") == F.col("y.band")) & ordered & (F.col("x.root") != F.col("y.root")) & promising("x", "y"))
+        more = more.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        found = materialize(_confirm(more, sets, percent), "near-more")
+        tested = tested.unionByName(more)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = components(links)
     rooted = signed.join(roots, F.col("class") == F.col("node"), "left").select("doc_id", "text_key", "n_shingles", F.coalesce("root", "class").alias("root"))
     named = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = rooted.join(named, "root", "left")

@@ -54,15 +54,16 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents")).select("doc_id", "canonical_sha256", "license_id", "notices")
 
 
-def byte_bpe() -> str:
+def byte_bpe() -> tuple[str, str]:
+    """The tokenizer's file and the same vocabulary as ranks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 @query
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), byte_bpe())
+    return packing.pack(table(spark, folder, "documents"), *byte_bpe())
 
 
 @query

@@ -183,7 +183,8 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     positions = materialize(anchors(texts, length), "repeat-anchors")
     # Copies of a text give the same position; only different texts or places count.
     grams = positions.groupBy("gram").agg(*[f("text_key").alias(f"{f.__name__}_key") for f in (F.min, F.max)], *[f("at").alias(f"{f.__name__}_at") for f in (F.min, F.max)])
-    grams = grams.filter("min_key <> max_key OR min_at <> max_at").select("gram")
+    # Written out, so that the join below may split a gram that many texts share.
+    grams = materialize(grams.filter("min_key <> max_key OR min_at <> max_at").select("gram"), "repeat-grams")
     wanted = positions.join(grams, "gram", "left_semi").groupBy("text_key").agg(F.collect_set("at").alias("at"))
     some = texts.filter(F.length("body") >= length).join(materialize(wanted, "repeat-wanted"), "text_key")
     own = some.select("text_key", "body", "at").dropDuplicates(["text_key"])

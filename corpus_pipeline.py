@@ -38,7 +38,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    return packing.pack(docs, byte_bpe())
+    return packing.pack(docs, *byte_bpe())
 
 
 STAGES = [
