@@ -8,7 +8,7 @@ agreement, and estimates clearly below the threshold are dropped; the rest is co
 A band's members are not paired with each other: first each is compared with the band's smallest class, then in
 ``ROUNDS`` rounds with one drawn for each band. Bands whose members are linked by then need nothing more; in the
 others, members of different components are compared, all of them, inside a join that keeps only pairs whose
-estimate passes. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
+estimate passes and whose parity bits leave a link possible. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
 
 Edge cases: a text with fewer words than ``size`` has its whole sequence as one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component. Repeated rows have equal sets, hence one component.
@@ -29,6 +29,8 @@ HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
 #: Estimates below the threshold by more than this are dropped: about 4.8 deviations.
 MARGIN = 0.2
+#: Remainders whose parities bound how much two sets can overlap.
+PARITIES = 2048
 #: Rounds that compare members of a band with one of them before all are compared.
 ROUNDS = 2
 
@@ -121,18 +123,24 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``text_key, shingles`` of each row."""
+    """``text_key, shingles`` of each row, and ``bits``: of each remainder, whether an odd number of shingles has it."""
 
     def build(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        _, _, shingles = _hashing()
+        np, _, shingles = _hashing()
+
+        def parity(s):
+            odd = np.bincount((s & np.uint64(PARITIES - 1)).astype("int64"), minlength=PARITIES) & 1
+            return np.packbits(odd.astype("uint8")).view("int64")
+
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.iloc[low : low + 256]
-                yield pd.DataFrame({"text_key": part.text_key, "shingles": [shingles(t, size).view("int64") for t in part.text]})
+                found = [shingles(t, size) for t in part.text]
+                yield pd.DataFrame({"text_key": part.text_key, "shingles": [s.view("int64") for s in found], "bits": [parity(s) for s in found]})
 
-    return docs.select("text_key", "text").mapInPandas(build, "text_key bigint, shingles array<bigint>")
+    return docs.select("text_key", "text").mapInPandas(build, "text_key bigint, shingles array<bigint>, bits array<bigint>")
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -178,6 +186,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.filter(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
+def may_overlap(a: str, b: str, percent: int) -> Column:
+    """False where the parity bits of two sets differ in more places than linked sets of these sizes can."""
+    differ = sum((F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i)))) for i in range(PARITIES // 64)), F.lit(0))
+    return differ * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row ``doc_id, text_key, n_shingles, component_id``; words are shingled by ``size``, links need ``percent``."""
     signed = materialize(signatures(docs, size), "near-signatures")
@@ -205,7 +219,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text")
     wanted = classes.join(taking_part, "class").select("class", "text_key")
     texts = keyed.join(wanted.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
-    sets = materialize(shingle_sets(texts, size).join(wanted, "text_key").select("class", "shingles"), "near-sets")
+    sets = materialize(shingle_sets(texts, size).join(wanted, "text_key").select("class", "shingles", "bits"), "near-sets")
+    parities, sets = sets.select("class", "bits"), sets.select("class", "shingles")
     links = materialize(_confirm(stars, sets, percent), "near-links")
     tested, roots = stars, components(links)
 
@@ -215,14 +230,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     for turn in range(ROUNDS + 1):
         members = banded.join(roots, F.col("class") == F.col("node"), "left").select("band", "class", F.coalesce("root", "class").alias("root"))
         apart = members.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("band")
-        members = materialize(members.join(apart, "band").join(slim, "class"), "near-members")
+        members = materialize(members.join(apart, "band").join(slim, "class").join(parities, "class"), "near-members")
         other = members
         if turn < ROUNDS:
             drawn = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("band", "class", F.lit(turn)).alias("lot"), "class")).alias("drawn"))
             other = members.join(drawn.select("band", F.col("drawn.class").alias("class")), ["band", "class"])
         x, y = members.alias("x"), other.alias("y")
         ordered = F.col("x.class") < F.col("y.class") if turn == ROUNDS else F.lit(True)
-        more = x.join(y, (F.col("x.band") == F.col("y.band")) & ordered & (F.col("x.root") != F.col("y.root")) & promising("x", "y"))
+        more = x.join(y, (F.col("x.band") == F.col("y.band")) & ordered & (F.col("x.root") != F.col("y.root")) & promising("x", "y") & may_overlap("x", "y", percent))
         more = more.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         found = materialize(_confirm(more, sets, percent), "near-more")
