@@ -7,8 +7,8 @@ agreement, and estimates clearly below the threshold are dropped; the rest is co
 
 A band's members are not paired with each other: first each is compared with the band's smallest class, then in
 ``ROUNDS`` rounds with one drawn for each band. Bands whose members are linked by then need nothing more; in the
-others, members of different components are compared, all of them, inside a join that keeps only pairs whose
-estimate passes and whose parity bits leave a link possible. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
+others, members of different components are compared, all of them, block by block inside tasks that return only
+pairs whose estimate passes and whose parity bits leave a link possible. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
 
 Edge cases: a text with fewer words than ``size`` has its whole sequence as one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component. Repeated rows have equal sets, hence one component.
@@ -31,6 +31,8 @@ BANDS = HASHES // ROWS
 MARGIN = 0.2
 #: Remainders whose parities bound how much two sets can overlap.
 PARITIES = 2048
+#: Rows of a block, of which two are compared at a time.
+BLOCK = 2048
 #: Rounds that compare members of a band with one of them before all are compared.
 ROUNDS = 2
 
@@ -192,6 +194,76 @@ def may_overlap(a: str, b: str, percent: int) -> Column:
     return differ * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
 
 
+def apart_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of one band and different roots that pass both bounds.
+
+    A band's members are dealt to blocks of about ``BLOCK`` rows, and two blocks at a time are compared; nothing but the
+    pairs that pass leaves a task, and a large band is spread over as many tasks as it has pairs of blocks.
+    """
+    floor = percent / 100 - MARGIN
+
+    def compare(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        names = ("band", "i", "j", "own", "class", "root", "n")
+
+        def pairs(g, low, high):
+            rows = {k: v[low:high] for k, v in g.items()}
+            same = rows["i"][0] == rows["j"][0]
+            left = np.arange(high - low) if same else np.flatnonzero(rows["own"] == rows["i"][0])
+            right = left if same else np.flatnonzero(rows["own"] == rows["j"][0])
+            for at in range(0, len(left), 64):
+                x, y = left[at : at + 64], right[at:] if same else right
+                nx, ny = rows["n"][x][:, None], rows["n"][y][None, :]
+                near = (rows["root"][x][:, None] != rows["root"][y][None, :]) & (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny))
+                p, q = np.nonzero(near)
+                p, q = x[p], y[q]
+                keep = p < q if same else np.ones(len(p), bool)
+                p, q = p[keep], q[keep]
+                for start in range(0, len(p), 50_000):
+                    a, b = p[start : start + 50_000], q[start : start + 50_000]
+                    differ = rows["packed"][a] ^ rows["packed"][b]
+                    differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+                    share = 1 - np.bitwise_count(differ).sum(1, dtype="int64") / HASHES
+                    keep = (share - 0.5**BITS) / (1 - 0.5**BITS) >= floor
+                    a, b = a[keep], b[keep]
+                    odd = np.bitwise_count(rows["bits"][a] ^ rows["bits"][b]).sum(1, dtype="int64")
+                    keep = odd * (100 + percent) <= (rows["n"][a] + rows["n"][b]) * (100 - percent)
+                    a, b = rows["class"][a[keep]], rows["class"][b[keep]]
+                    if len(a):
+                        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+        def groups(g, complete):
+            size = len(g["band"])
+            new = (np.diff(g["band"]) != 0) | (np.diff(g["i"]) != 0) | (np.diff(g["j"]) != 0)
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), size]
+            return list(zip(edges[:-1], edges[1:])) if complete else list(zip(edges[:-2], edges[1:-1]))
+
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            g = {k: batch[k].to_numpy("int64") for k in names}
+            g |= {k: np.stack(batch[k]).view("uint64") for k in ("packed", "bits")}
+            held = g if held is None else {k: np.concatenate([held[k], g[k]]) for k in g}
+            done = groups(held, False)
+            for low, high in done:
+                yield from pairs(held, low, high)
+            if done:
+                held = {k: v[done[-1][1] :] for k, v in held.items()}
+        if held is not None:
+            for low, high in groups(held, True):
+                yield from pairs(held, low, high)
+
+    cuts = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    placed = members.join(cuts, "band").withColumn("own", F.pmod(F.xxhash64("class"), F.col("cuts")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    dealt = placed.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root", "n", "packed", "bits")
+    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return dealt.mapInPandas(compare, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row ``doc_id, text_key, n_shingles, component_id``; words are shingled by ``size``, links need ``percent``."""
     signed = materialize(signatures(docs, size), "near-signatures")
@@ -231,14 +303,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         members = banded.join(roots, F.col("class") == F.col("node"), "left").select("band", "class", F.coalesce("root", "class").alias("root"))
         apart = members.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("band")
         members = materialize(members.join(apart, "band").join(slim, "class").join(parities, "class"), "near-members")
-        other = members
-        if turn < ROUNDS:
+        if turn == ROUNDS:
+            more = apart_pairs(members, percent)
+        else:
             drawn = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("band", "class", F.lit(turn)).alias("lot"), "class")).alias("drawn"))
             other = members.join(drawn.select("band", F.col("drawn.class").alias("class")), ["band", "class"])
-        x, y = members.alias("x"), other.alias("y")
-        ordered = F.col("x.class") < F.col("y.class") if turn == ROUNDS else F.lit(True)
-        more = x.join(y, (F.col("x.band") == F.col("y.band")) & ordered & (F.col("x.root") != F.col("y.root")) & promising("x", "y") & may_overlap("x", "y", percent))
-        more = more.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+            x, y = members.alias("x"), other.alias("y")
+            more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & promising("x", "y") & may_overlap("x", "y", percent))
+            more = more.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         found = materialize(_confirm(more, sets, percent), "near-more")
         tested = tested.unionByName(more)
