@@ -16,15 +16,18 @@ from candlespark.sources.messages import read_message_files, trades_to_json
 from candlespark.streaming import trades as jobs
 
 def message_stream(spark: SparkSession, folder: str, batches: int = 4) -> DataFrame:
-    """All trades as JSON message files, read as a stream in about ``batches`` micro-batches.
+    """All trades as JSON message files, read as a stream in ``batches`` micro-batches.
 
-    The number of files follows the cores of the cluster; files hold trades of all times, so that later
+    Which trades share a batch follows from a hash of the message, and the files of one batch are written after those
+    of the batch before, so the batches do not depend on the machine. Files hold trades of all times, so that later
     batches correct candles of earlier ones.
     """
-    path, width = shared_dir(spark, "messages"), max(batches, spark.sparkContext.defaultParallelism)
+    path, width = shared_dir(spark, "messages"), 2
     messages = trades_to_json(b.trades(spark, folder)).select("value")
-    messages.repartition(width, F.xxhash64("value")).write.text(path)
-    return parse_trades(read_message_files(spark, path, files_per_trigger=-(-width // batches)))
+    for batch in range(batches):
+        part = messages.where(F.pmod(F.xxhash64("value"), F.lit(batches)) == batch)
+        part.repartition(width).write.mode("append").text(path)
+    return parse_trades(read_message_files(spark, path, files_per_trigger=width))
 
 
 def finish(*queries) -> None:

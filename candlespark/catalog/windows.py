@@ -186,7 +186,7 @@ def macd(spark, folder):
     "trend",
     f"""WITH {_C},
 s AS (SELECT *, row_number() OVER ({_W}) AS i, {full_frame('avg', 7)} AS fast, {full_frame('avg', 20)} AS slow FROM candles),
-t AS (SELECT *, CAST(sign(round(fast - slow, 9)) AS INTEGER) AS state FROM s),
+t AS (SELECT *, CAST(CASE WHEN abs(fast - slow) <= 1e-12 * greatest(abs(fast), abs(slow)) THEN 0 ELSE sign(fast - slow) END AS INTEGER) AS state FROM s),
 u AS (SELECT *, state <> lag(state) OVER ({_W}) AS crossed, count(close) OVER f AS n, regr_slope(close, i) OVER f AS x
       FROM t WINDOW f AS ({_W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
 SELECT {_KEY}, state, crossed AS "cross", CASE WHEN n >= 2 THEN {r6('x')} END AS slope FROM u""",

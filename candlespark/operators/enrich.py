@@ -3,25 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A side is broadcast on request only when Spark's own size estimate proves it to be this small.
-BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of the optimized plan; exact for inline relations."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint for a side of proven size; a larger side is left to the planner."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
 
 def join_metadata(df: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Left join of coin metadata on the symbol; unmatched rows get nulls."""
-    return df.join(broadcast_if_small(metadata), "symbol", "left")
+    """Left join of coin metadata on the symbol; unmatched rows get nulls. The planner picks the strategy by size."""
+    return df.join(metadata, "symbol", "left")
 
 
 def join_sentiment(df: DataFrame, sentiment: DataFrame, strategy: str | None = None) -> DataFrame:

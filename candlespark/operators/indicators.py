@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from candlespark.operators.blocks import CANDLES, ROW_INDEX, Series, over_series, own_rows, spread_blocks
 from candlespark.operators.features import log_return_column
+from candlespark.session import materialize
 
 
 def _full_frame(value: str, n: int, w: WindowSpec, agg) -> Column:
@@ -101,12 +101,6 @@ def indicators(
     return over_series(candles, series, max(sma_n - 1, bb_n - 1, rsi_n), add)
 
 
-def ema_lookback(n: int) -> int:
-    """Rows after which an earlier value weighs less than 2**-64 in an EMA of span ``n``."""
-    alpha = 2 / (n + 1)
-    return 1 if alpha >= 1 else math.ceil(64 * math.log(2) / -math.log1p(-alpha))
-
-
 def macd(
     candles: DataFrame,
     fast: int = 12,
@@ -117,32 +111,61 @@ def macd(
 ) -> DataFrame:
     """EMA fast and slow, MACD line, signal line and histogram.
 
-    An EMA is a recursion over the whole series, but the weight of a value falls geometrically. A block
-    starts its recursion early enough that what lies further back weighs less than 2**-64 of itself, far
-    below the rounding of a double; the first block starts at the first row, as the definition says.
-    A missing price keeps the previous averages.
+    The recursion over the whole series is exact, whatever prices are missing: what a block of rows does to the three
+    averages is a linear map of the averages before it. The maps are computed block by block, composed over the few
+    blocks of a key, and each block then runs from the averages it starts with. A missing price keeps the averages.
     """
     if series.block_rows is None:
         series = Series(series.key, series.time, series.tie, series.chunk, 2**62)
-        lookback = 0
-    else:
-        lookback = ema_lookback(max(fast, slow)) + ema_lookback(signal)
-    spread = spread_blocks(candles, series, lookback)
+    key = list(series.key)
+    spread = materialize(spread_blocks(candles, series, 0).where(own_rows(series)), "macd-blocks")
     added = ["ema_fast", "ema_slow", "macd", "macd_signal", "macd_hist"]
+    states = ["_f", "_s", "_g"]
+
+    def run(x: np.ndarray, start: tuple) -> tuple:
+        def mean(values, span, first):
+            extended = pd.Series(np.concatenate([[first], values]))
+            return extended.ewm(span=span, adjust=False, ignore_na=True).mean().to_numpy()[1:]
+
+        f, s = mean(x, fast, start[0]), mean(x, slow, start[1])
+        return f, s, mean(f - s, signal, start[2])
+
+    def summarize(block: pd.DataFrame) -> pd.DataFrame:
+        x = block.sort_values(ROW_INDEX, kind="stable")[price].to_numpy("float64")
+        empty, zero = np.where(np.isnan(x), np.nan, 0.0), (0.0, 0.0, 0.0)
+        ends = [run(x, (np.nan,) * 3), run(x, zero), *[run(empty, tuple(np.eye(3)[i])) for i in range(3)]]
+        out = block[[*key, "_block"]].iloc[:1].copy()
+        out["map"] = [np.array([[part[-1] for part in end] for end in ends]).ravel()]
+        return out
+
+    def compose(blocks: pd.DataFrame) -> pd.DataFrame:
+        blocks = blocks.sort_values("_block")
+        state, before = np.full(3, np.nan), []
+        for flat in blocks["map"]:
+            before.append(state)
+            own, shift, *columns = np.asarray(flat).reshape(5, 3)
+            state = own if np.isnan(state).any() else shift + np.stack(columns, axis=1) @ state
+        out = blocks[[*key, "_block"]].copy()
+        out[states] = np.stack(before)
+        return out
 
     def compute(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(ROW_INDEX, kind="stable")
-        mean = lambda x, n: x.ewm(span=n, adjust=False, ignore_na=True).mean()
-        x = block[price]
-        block["ema_fast"], block["ema_slow"] = mean(x, fast), mean(x, slow)
+        start = tuple(block[c].iloc[0] for c in states)
+        block["ema_fast"], block["ema_slow"], block["macd_signal"] = run(block[price].to_numpy("float64"), start)
         block["macd"] = block["ema_fast"] - block["ema_slow"]
-        block["macd_signal"] = mean(block["macd"], signal)
         block["macd_hist"] = block["macd"] - block["macd_signal"]
-        return block
-
+        return block.drop(columns=states)
+
+    fields = {f.name: f for f in spread.schema.fields}
+    names = T.StructType([fields[c] for c in (*key, "_block")])
+    doubles = [T.StructField(c, T.DoubleType()) for c in states]
+    maps = spread.select(*key, "_block", ROW_INDEX, price).groupBy(*key, "_block")
+    maps = maps.applyInPandas(summarize, T.StructType([*names.fields, T.StructField("map", T.ArrayType(T.DoubleType()))]))
+    starts = maps.groupBy(*key).applyInPandas(compose, T.StructType([*names.fields, *doubles]))
     schema = T.StructType(spread.schema.fields + [T.StructField(c, T.DoubleType()) for c in added])
-    result = spread.groupBy(*series.key, "_block").applyInPandas(compute, schema)
-    return result.where(own_rows(series)).drop("_block", ROW_INDEX)
+    result = spread.join(starts, [*key, "_block"]).select(*spread.columns, *states)
+    return result.groupBy(*key, "_block").applyInPandas(compute, schema).drop("_block", ROW_INDEX)
 
 
 def trend(candles: DataFrame, fast: int = 7, slow: int = 20, series: Series = CANDLES, price: str = "close") -> DataFrame:
@@ -153,8 +176,10 @@ def trend(candles: DataFrame, fast: int = 7, slow: int = 20, series: Series = CA
         rows = rows.withColumns(
             {"_fast": _full_frame(price, fast, w, F.avg), "_slow": _full_frame(price, slow, w, F.avg)}
         )
-        # Averages of equal prices may differ in the last bits; compare what is left after 9 digits.
-        rows = rows.withColumn("state", F.signum(F.round(F.col("_fast") - F.col("_slow"), 9)).cast("int"))
+        # Averages of equal prices may differ in the last bits, in proportion to the price.
+        apart = F.col("_fast") - F.col("_slow")
+        same = F.abs(apart) <= 1e-12 * F.greatest(F.abs("_fast"), F.abs("_slow"))
+        rows = rows.withColumn("state", F.when(same, 0).otherwise(F.signum(apart)).cast("int"))
         return rows.withColumns(
             {
                 "cross": F.col("state") != F.lag("state", 1).over(w),

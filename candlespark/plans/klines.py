@@ -117,8 +117,10 @@ class HighWaterMark:
     def _last(self) -> tuple[int, dt.date | None]:
         try:
             row = self._entries().agg(F.max("seq").alias("seq"), F.max_by("next_day", "seq").alias("day")).first()
-        except AnalysisException:  # no mark written yet
-            return 0, None
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, None  # no mark written yet
         return (row["seq"] or 0, row["day"]) if row else (0, None)
 
     def read(self, today: dt.date, default_lag: int = DEFAULT_LAG_DAYS) -> dt.date:

@@ -24,6 +24,10 @@ RUNTIME_CONF = {
 }
 
 
+#: Shared folders made by this process.
+_made: list[str] = []
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -52,7 +56,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the shared folders this process has made, once no result that reads them is needed; their number."""
+    files = spark._jvm.org.apache.hadoop.fs
+    count = len(_made)
+    while _made:
+        path = files.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -27,8 +27,8 @@ def append_candle_log(batch: DataFrame, batch_id: int, path: str) -> None:
 def latest_by_key(log: DataFrame, key: tuple[str, ...] = schemas.CANDLE_KEY, version: str = BATCH) -> DataFrame:
     """The whole row of the newest version per key. Versions are combined map-side before the shuffle."""
     rest = [c for c in log.columns if c not in key and c != version]
-    newest = log.groupBy(*key).agg(F.max_by(F.struct(*rest), version).alias("_row"))
-    return newest.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    # Column by column: one struct of all would make Spark sort the whole log.
+    return log.groupBy(*key).agg(*[F.max_by(c, version).alias(c) for c in rest])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

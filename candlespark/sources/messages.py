@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_OFFSETS_PER_TRIGGER = 50_000  # fixed value: admission limit of the broker source
+MAX_OFFSETS_PER_TRIGGER = 50_000  # fixed value: default admission limit of the broker source
 
 
-def broker_read_options(servers: str, topic: str) -> dict[str, str]:
-    """Options of ``readStream.format("kafka")``. The connector is not part of plain Spark."""
+def broker_read_options(servers: str, topic: str, max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
+    """Options of ``readStream.format("kafka")``; ``max_offsets=None`` admits all that waits.
+
+    The connector is not part of plain Spark.
+    """
+    limit = {} if max_offsets is None else {"maxOffsetsPerTrigger": str(max_offsets)}
     return {
+        **limit,
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(MAX_OFFSETS_PER_TRIGGER),
     }
 
 
@@ -31,8 +35,8 @@ def broker_write_options(servers: str, topic: str) -> dict[str, str]:
     }
 
 
-def read_broker(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    return spark.readStream.format("kafka").options(**broker_read_options(servers, topic)).load()
+def read_broker(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+    return spark.readStream.format("kafka").options(**broker_read_options(servers, topic, max_offsets)).load()
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

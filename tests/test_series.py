@@ -151,6 +151,21 @@ def test_macd_matches_the_recursion_over_all_rows(spark):
     pd.testing.assert_frame_equal(frame(indicators.macd(df, series=PLAIN)), got, atol=1e-11)
 
 
+def test_macd_over_missing_prices_equals_the_plain_form(spark):
+    missing = lambda i: 150 <= i < 1990 or i % 5 == 0
+    rows = [(*row[:5], None if missing(i) else row[5], row[6]) for i, row in enumerate(walk(2500, 3, "A"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = frame(indicators.macd(df, series=Series(block_rows=300)))
+    pd.testing.assert_frame_equal(got, frame(indicators.macd(df, series=PLAIN)), rtol=1e-12, atol=1e-11)
+    assert got["ema_slow"].notna().iloc[1:].all()
+
+
+def test_trend_does_not_depend_on_the_size_of_prices(spark):
+    rising = [("A", START + dt.timedelta(hours=i), 1.12e-6 + i * 1e-9) for i in range(40)]
+    df = spark.createDataFrame(rising, "symbol string, start_time timestamp, close double")
+    assert set(frame(indicators.trend(df))["state"].dropna()) == {1}
+
+
 def test_log_return_edges(spark):
     data = [("A", START + dt.timedelta(hours=i), c) for i, c in enumerate([1.0, math.e, 0.0, 5.0, 5.0])]
     df = spark.createDataFrame(data, "symbol string, start_time timestamp, close double")
