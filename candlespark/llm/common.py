@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlespark.session import materialize
+
+#: Rows that a task of a small intermediate table gets at least.
+ROWS_PER_TASK = 16_384
+
 #: Words are runs of other characters than these (fixed values of the contracts).
 GAP = r"[ \t-\r]+"
 WORD = r"[^ \t-\r]+"
@@ -30,3 +35,13 @@ def fresh(df: DataFrame, name: str) -> str:
 def text_key(text: Column) -> Column:
     """A 64-bit key of a text, for joins that also compare ``doc_id``."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
+
+
+def stored(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``df`` written to the shared folder, in about as many files as ``rows`` rows need.
+
+    Small shuffle partitions are merged without another shuffle, so that a small table is not written and read as hundreds
+    of tiny files. Never fewer than twice the cores, and a large table keeps its partitions.
+    """
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return materialize(df.coalesce(max(least, -(-rows // ROWS_PER_TASK))), name)

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlespark.llm.common import text_key
+from candlespark.llm.common import stored, text_key
 from candlespark.session import materialize
 
 HASHES, ROWS, BITS = 128, 4, 2
@@ -155,14 +155,14 @@ def estimate(a: Column, b: Column) -> Column:
     return (same / HASHES - 0.5**BITS) / (1 - 0.5**BITS)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int) -> DataFrame:
     """``node, root`` of every node of ``a, b`` edges; root: the component's smallest node.
 
     Large-star and small-star rounds: the number of rounds grows with the logarithm of a component's width, and no
-    round needs the neighbours of a node together.
+    round needs the neighbours of a node together. ``rows``: about how many edges there are.
     """
-    spark = edges.sparkSession
-    current = materialize(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).filter("low < high").distinct(), "star")
+    edges = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).filter("low < high").distinct()
+    current = stored(edges, "star", rows)
     # One row: edges that stay the same from one round to the next are told by their number and two sums of hashes.
     fingerprint = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high")), F.bit_xor(F.xxhash64("high", F.lit(1), "low"))).first()
     mark = fingerprint(current)
@@ -174,7 +174,7 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
         small = large.join(down, F.col("high") == F.col("node")).select("least", "low", "high")
         small = small.select("least", F.explode(F.array("low", "high")).alias("high")).filter("least < high").distinct()
-        after = materialize(small.select(F.col("least").alias("low"), "high"), "star")
+        after = stored(small.select(F.col("least").alias("low"), "high"), "star", 2 * rows)
         seen, current = mark, after
         mark = fingerprint(current)
         if mark == seen:
@@ -270,13 +270,14 @@ def apart_pairs(members: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row ``doc_id, text_key, n_shingles, component_id``; words are shingled by ``size``, links need ``percent``."""
     signed = materialize(signatures(docs, size), "near-signatures")
+    rows = signed.count()
     classes = signed.filter("class IS NOT NULL").groupBy("class").agg(
         F.min("text_key").alias("text_key"), F.any_value("n_shingles").alias("n"), F.any_value("packed").alias("packed"), F.any_value("bands").alias("bands")
     )
-    classes = materialize(classes, "near-classes")
+    classes = stored(classes, "near-classes", rows)
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("members"), F.min("class").alias("first")).filter("members > 1")
-    banded = materialize(banded.join(shared, "band").select("band", "class", "first"), "near-bands")
+    banded = stored(banded.join(shared, "band").select("band", "class", "first"), "near-bands", rows)
     floor = percent / 100 - MARGIN
     slim = classes.select("class", "n", "packed")
 
@@ -289,15 +290,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         stars.join(slim.alias("x"), F.col("a") == F.col("x.class")).join(slim.alias("y"), F.col("b") == F.col("y.class"))
         .filter(promising("x", "y")).select("a", "b")
     )
-    stars = materialize(stars, "near-stars")
-    taking_part = materialize(banded.select("class").distinct(), "near-taking-part")
+    stars = stored(stars, "near-stars", rows)
+    taking_part = stored(banded.select("class").distinct(), "near-taking-part", rows)
     keyed = docs.select(text_key(F.col("text")).alias("text_key"), "text")
     wanted = classes.join(taking_part, "class").select("class", "text_key")
     texts = keyed.join(wanted.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
-    sets = materialize(shingle_sets(texts, size).join(wanted, "text_key").select("class", "shingles", "bits"), "near-sets")
+    sets = stored(shingle_sets(texts, size).join(wanted, "text_key").select("class", "shingles", "bits"), "near-sets", rows)
     parities, sets = sets.select("class", "bits"), sets.select("class", "shingles")
-    links = materialize(_confirm(stars, sets, percent), "near-links")
-    tested, roots = stars, components(links)
+    links = stored(_confirm(stars, sets, percent), "near-links", rows)
+    tested, roots = stars, components(links, rows)
 
     # Second step: members of one band that are still apart. A few rounds compare them with one member per band,
     # drawn anew for each band and round; then those of different components are compared, all of them.
@@ -305,7 +306,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     for turn in range(ROUNDS + 1):
         members = banded.join(roots, F.col("class") == F.col("node"), "left").select("band", "class", F.coalesce("root", "class").alias("root"))
         apart = members.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("band")
-        members = materialize(members.join(apart, "band").join(slim, "class").join(parities, "class"), "near-members")
+        members = stored(members.join(apart, "band").join(slim, "class").join(parities, "class"), "near-members", rows)
         if turn == ROUNDS:
             more = apart_pairs(members, percent)
         else:
@@ -314,12 +315,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             x, y = members.alias("x"), other.alias("y")
             more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & promising("x", "y") & may_overlap("x", "y", percent))
             more = more.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        found = materialize(_confirm(more, sets, percent), "near-more")
+        more = stored(more.join(tested, ["a", "b"], "left_anti"), "near-pairs", rows)
+        found = stored(_confirm(more, sets, percent), "near-more", rows)
         tested = tested.unionByName(more)
         if not found.isEmpty():
             links = links.unionByName(found)
-            roots = components(links)
+            roots = components(links, rows)
     rooted = signed.join(roots, F.col("class") == F.col("node"), "left").select("doc_id", "text_key", "n_shingles", F.coalesce("root", "class").alias("root"))
     named = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = rooted.join(named, "root", "left")
