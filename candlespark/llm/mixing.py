@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlespark.llm.common import WORD
+from candlespark.llm.common import WORD, stored
 from candlespark.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -102,7 +102,8 @@ def deal(blocks: DataFrame, seed: int, levels: int = LEVELS) -> DataFrame:
 def plan_mix(docs: DataFrame, seed: int = 0, levels: int = LEVELS) -> DataFrame:
     """One row per source and block: ``source, block, source_size, target, base, cut, shards``."""
     sized = materialize(sizes(docs, seed), "mix-sizes")
-    goals = materialize(cuts(sized, targets(sized)), "mix-targets")
+    rows = sized.count()
+    goals = stored(cuts(sized, targets(sized)), "mix-targets", rows)
     blocks = sized.select("source", block_of(F.col("place")).alias("block")).distinct()
     blocks = blocks.alias("b").join(goals.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source"))).select("b.*", "g.source_size", "g.target", "g.base", "g.cut")
     copies = F.col("base") + (F.coalesce(F.col("cut"), F.lit(-(2**63))) >= F.shiftleft(F.col("block").cast("bigint"), 64 - BLOCK_BITS)).cast("int")
@@ -110,7 +111,7 @@ def plan_mix(docs: DataFrame, seed: int = 0, levels: int = LEVELS) -> DataFrame:
     same = F.col("b.source").eqNullSafe(F.col("s.source")) & (F.col("b.block") == F.col("s.block"))
     planned = blocks.alias("b").join(shards.alias("s"), same, "left").select("b.*", F.coalesce("s.shards", F.array().cast("array<int>")).alias("shards"))
     # Written out, its true size is known, and the planner may pick a broadcast for itself.
-    return materialize(planned, "mix-plan")
+    return stored(planned, "mix-plan", rows)
 
 
 def attach(docs: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlespark.llm.common import text_key
+from candlespark.llm.common import stored, text_key
 from candlespark.session import materialize
 
 # Titles and names by gender and script.
@@ -177,20 +177,21 @@ def attempts(entities: DataFrame, key: str, most: int = 50) -> DataFrame:
     """
     # Entities of one form may be spelled differently; the smallest spelling stands for the form.
     state = entities.groupBy("form", "kind").agg(F.min("entity").alias("entity")).withColumn("attempt", F.lit(0))
-    state = materialize(state, "pii-forms")
+    rows = entities.count()
+    state = stored(state, "pii-forms", rows)
     forms = state.select(F.col("form").alias("mark"))
     for _ in range(most):
         given = surrogates(state, key).withColumn("mark", canonical(F.col("surrogate"), F.col("kind")))
-        given = materialize(given.select("form", "attempt", "mark"), "pii-marks")
+        given = stored(given.select("form", "attempt", "mark"), "pii-marks", rows)
         shared = given.groupBy("mark").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count("*").alias("n")).filter("n > 1")
         real = given.join(forms, "mark", "left_semi").select("mark", F.lit(None).cast("string").alias("winner"))
         contested = shared.select("mark", F.col("first.form").alias("winner")).join(real, "mark", "left_anti").unionByName(real.distinct())
         losers = given.join(contested, "mark").filter("winner IS NULL OR winner <> form").select("form")
-        losers = materialize(losers.distinct(), "pii-collisions")
+        losers = stored(losers.distinct(), "pii-collisions", rows)
         if losers.isEmpty():
             return state.select("form", "attempt")
         raised = state.join(losers.withColumn("more", F.lit(1)), "form", "left").withColumn("attempt", F.col("attempt") + F.coalesce("more", F.lit(0)))
-        state = materialize(raised.select("form", "kind", "entity", "attempt"), "pii-forms")
+        state = stored(raised.select("form", "kind", "entity", "attempt"), "pii-forms", rows)
     raise RuntimeError(f"{most} attempts left surrogates that collide; the table has more entities of a type than its format allows")
 
 
@@ -202,8 +203,9 @@ def protect(docs: DataFrame, key: str) -> DataFrame:
     # Which text holds which entity; copies of a text count once. Texts themselves are not moved here.
     occurring = held.select(text_key(F.col("text")).alias("text_key"), F.explode("entities").alias("entity")).distinct()
     occurring = materialize(occurring, "pii-occurrences")
+    rows = occurring.count()
     entities = occurring.select("entity").distinct().withColumn("kind", kind(F.col("entity")))
-    entities = materialize(entities.withColumn("form", canonical(F.col("entity"), F.col("kind"))), "pii-entities")
+    entities = stored(entities.withColumn("form", canonical(F.col("entity"), F.col("kind"))), "pii-entities", rows)
     given = surrogates(entities.join(attempts(entities, key), "form"), key).select("entity", "surrogate")
     per_text = occurring.join(given, "entity").groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("given"))
     # Only texts with entities are shuffled.

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlespark.llm.common import stored
 from candlespark.session import materialize
 
 GRAM, CELL = 64, 32
@@ -181,19 +182,20 @@ def cells(texts: DataFrame, length: int) -> DataFrame:
 def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     """``text_key, start, n``: n neighbouring windows from ``start`` on that occur elsewhere among different texts or places."""
     positions = materialize(anchors(texts, length), "repeat-anchors")
+    rows = positions.count()
     # Copies of a text give the same position; only different texts or places count.
     grams = positions.groupBy("gram").agg(*[f("text_key").alias(f"{f.__name__}_key") for f in (F.min, F.max)], *[f("at").alias(f"{f.__name__}_at") for f in (F.min, F.max)])
     # Written out, so that the join below may split a gram that many texts share.
-    grams = materialize(grams.filter("min_key <> max_key OR min_at <> max_at").select("gram"), "repeat-grams")
+    grams = stored(grams.filter("min_key <> max_key OR min_at <> max_at").select("gram"), "repeat-grams", rows)
     wanted = positions.join(grams, "gram", "left_semi").groupBy("text_key").agg(F.collect_set("at").alias("at"))
-    some = texts.filter(F.length("body") >= length).join(materialize(wanted, "repeat-wanted"), "text_key")
+    some = texts.filter(F.length("body") >= length).join(stored(wanted, "repeat-wanted", rows), "text_key")
     own = some.select("text_key", "body", "at").dropDuplicates(["text_key"])
     found = cells(own, length).withColumn("name", F.xxhash64("left", "right", "lead", "n")).withColumn("name_b", F.xxhash64(F.lit(1), "right", "left", "lead", "n"))
     found = materialize(found.withColumn("place", F.xxhash64("text_key", "start")), "repeat-cells")
-    names = materialize(found.groupBy("core_a", "core_b", "name", "name_b").agg(F.count("*").alias("times"), F.min("place").alias("chosen")), "repeat-names")
+    names = stored(found.groupBy("core_a", "core_b", "name", "name_b").agg(F.count("*").alias("times"), F.min("place").alias("chosen")), "repeat-names", rows)
     cores = names.groupBy("core_a", "core_b").agg(F.count("*").alias("kinds"))
     names = names.join(cores, ["core_a", "core_b"]).filter("times > 1 OR kinds > 1")
-    met = materialize(found.join(names, ["core_a", "core_b", "name", "name_b"]), "repeat-met")
+    met = stored(found.join(names, ["core_a", "core_b", "name", "name_b"]), "repeat-met", rows)
     whole = met.filter("times > 1").select("text_key", "start", "n")
     # One cell of each name, window by window.
     apart = met.filter("kinds > 1 AND place = chosen").withColumn("step", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
@@ -205,7 +207,7 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
         "text_key", (F.col("start") + F.col("step")).alias("start"), (F.col("times") > 1).alias("known"),
         F.xxhash64("core_a", "core_b", offset, left, right).alias("window_a"), F.xxhash64(F.lit(1), right, left, offset, "core_b", "core_a").alias("window_b"),
     )
-    windows = materialize(windows, "repeat-windows")
+    windows = stored(windows, "repeat-windows", rows)
     twice = windows.groupBy("window_a", "window_b").agg(F.count("*").alias("times")).filter("times > 1")
     single = windows.filter("NOT known").join(twice, ["window_a", "window_b"], "left_semi")
     return whole.unionByName(single.select("text_key", "start", F.lit(1).alias("n")))
