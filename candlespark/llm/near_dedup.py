@@ -322,7 +322,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             links = links.unionByName(found)
             roots = components(links, rows)
     rooted = signed.join(roots, F.col("class") == F.col("node"), "left").select("doc_id", "text_key", "n_shingles", F.coalesce("root", "class").alias("root"))
-    named = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Both sides of the last join are written out, so that the rows of a large component may be split among tasks.
+    rooted = stored(rooted, "near-rooted", rows)
+    named = stored(rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "near-named", rows)
     joined = rooted.join(named, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "text_key", "n_shingles", component.alias("component_id"))
