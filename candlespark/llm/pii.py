@@ -8,7 +8,8 @@ from reserved ranges and domains.
 
 Collision check: over the distinct entities of the table, two entities must not share a surrogate, and no
 surrogate may be an entity of the table. The loser gets the next attempt, until none is left. Attempts other than
-0 follow from the rounds; the distinct entities never leave the executors, and reach the texts by joins.
+0 follow from the rounds; the distinct entities never leave the executors, and reach the texts by joins. Each further
+attempt adds a syllable to names and a character to mail domains, so that however many there are, all find a place.
 
 Edge cases: a null text stays null, an empty one empty, both without entities. Repeated rows get the same text.
 Extra columns pass through. ``n_entities`` takes the place of an input column of that name.
@@ -117,6 +118,12 @@ def _luhn(number: Column) -> Column:
     return F.concat(number.substr(F.lit(1), F.length(number) - 1), check.cast("string"))
 
 
+def _more(values: tuple[str, ...], digest: Column) -> Column:
+    """As many further syllables as the attempt's number."""
+    places = F.when(F.col("attempt") > 0, F.sequence(F.lit(4), F.col("attempt") + 3)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, lambda i: F.get(F.array(*map(F.lit, values)), _number(digest, i, len(values)))), "")
+
+
 def _name(entity: Column, digest: Column) -> Column:
     title = F.regexp_extract(entity, rf"^((?:{_TITLES})\.?) ", 1)
     bare = F.regexp_replace(title, r"\.", "")
@@ -129,12 +136,13 @@ def _name(entity: Column, digest: Column) -> Column:
         .when(female, _pick(FEMALE_NAMES, digest, 0))
         .otherwise(_pick(NEUTRAL_NAMES, digest, 0))
     )
-    latin = F.concat(_pick(SURNAME_STARTS, digest, 1), _pick(SURNAME_STARTS, digest, 2), _pick(SURNAME_ENDS, digest, 3))
+    latin = F.concat(_pick(SURNAME_STARTS, digest, 1), _pick(SURNAME_STARTS, digest, 2), _more(SURNAME_STARTS, digest), _pick(SURNAME_ENDS, digest, 3))
     slavic = F.concat(
         _pick(SURNAME_STARTS_CYRILLIC, digest, 1),
+        _more(SURNAME_STARTS_CYRILLIC, digest),
         F.when(female, _pick(SURNAME_ENDS_FEMALE_CYRILLIC, digest, 3)).otherwise(_pick(SURNAME_ENDS_MALE_CYRILLIC, digest, 3)),
     )
-    last = F.concat(F.substring(F.when(cyrillic, slavic).otherwise(latin), 1, 1), F.lower(F.substring(F.when(cyrillic, slavic).otherwise(latin), 2, 40)))
+    last = F.concat(F.substring(F.when(cyrillic, slavic).otherwise(latin), 1, 1), F.lower(F.substring(F.when(cyrillic, slavic).otherwise(latin), 2, 400)))
     two = F.size(F.split(F.regexp_replace(entity, rf"^(?:{_TITLES})\.? ", ""), " ")) > 1
     return F.concat(title, F.lit(" "), F.when(two, F.concat(first, F.lit(" "), last)).otherwise(last))
 
@@ -156,7 +164,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     df = df.withColumn("lead", lead)
     body = F.when(F.col("kind") == "email", F.lower(entity.substr(F.lit(1), at - 1))).otherwise(entity.substr(F.length("lead") + 1, F.length(entity)))
     df = df.withColumn("body", body).withColumn("label", F.lower(F.regexp_extract(entity, r"@([A-Za-z0-9-]+)", 1)))
-    df = df.withColumn("alike", F.concat("lead", _alike(F.col("body"), digest))).withColumn("label_alike", _alike(F.col("label"), F.reverse("digest")))
+    df = df.withColumn("alike", F.concat("lead", _alike(F.col("body"), digest)))
+    longer = digest.substr(F.lit(65), F.col("attempt"))
+    df = df.withColumn("label_alike", F.concat(_alike(F.col("label"), F.reverse("digest")), longer))
     top = F.when(F.lower(entity).rlike(r"\.(net|org)$"), F.lower(F.regexp_extract(entity, r"\.([A-Za-z]+)$", 1))).otherwise(F.lit("com"))
     address = F.concat_ws(".", *[(_number(digest, i, n) + low).cast("string") for i, (n, low) in enumerate(((15, 240), (256, 0), (256, 0), (254, 1)))])
     new = (

@@ -222,6 +222,16 @@ def test_colliding_surrogates_are_told_apart(spark):
     assert len({r.text for r in got}) == 2000 and not {r.text for r in got} & {t for _, t in rows}
 
 
+def test_more_entities_than_short_surrogates(spark):
+    # 16 ** 3 surnames and 26 ** 2 short addresses are not enough for these.
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c for a in letters for b in letters for c in letters][:6000]
+    rows = [(i, f"Mr Q{w}") for i, w in enumerate(words)] + [(6000 + i, f"{w[0]}@{w[1:]}.net") for i, w in enumerate(words[:1500])]
+    got = {r.doc_id: r.text for r in pii.protect(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert len(set(got.values())) == len({t for _, t in rows}) and not set(got.values()) & {t for _, t in rows}
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]+", got[i]) for i in range(6000))
+
+
 def test_licenses(spark, none):
     body = license_scan.KNOWN[0][1]
     rows = [(1, "Copyright (c) 2019 Someone\n\n" + body.upper().replace(",", " ,")), (2, "Some text\nReleased under the MIT Licence!\nmore"), (3, None), (4, ""), (5, body + " but changed")]
