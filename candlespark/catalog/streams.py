@@ -68,6 +68,22 @@ def stream_sliding(spark, folder):
     return b.naive(candle_log.latest_candles_view(spark, path), "start_time", "end_time")
 
 
+@query(
+    "stream_alerts",
+    f"""WITH {_MS}, {candles()},
+p AS (SELECT symbol, start_time, close, lag(close) OVER (PARTITION BY symbol ORDER BY start_time) AS previous FROM candles)
+SELECT symbol, start_time, close, previous, CASE WHEN previous < 50 THEN 'up' ELSE 'down' END AS direction FROM p
+WHERE (previous < 50 AND close >= 50) OR (previous >= 50 AND close < 50)""",
+)
+def stream_alerts(spark, folder):
+    """Alerts that hold after the last batch; batches hold trades of all times, so most candles are corrected."""
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    alert = jobs.alert_on_batch(paths.data("candles"), paths.data("alerts"), 50.0)
+    trades, checkpoint = message_stream(spark, folder), paths.checkpoint("candles")
+    finish(jobs.start_candles(trades, paths.data("candles"), checkpoint, "1 hour", available_now=True, on_batch=alert))
+    return b.naive(jobs.latest_alerts(spark, paths.data("alerts")), "start_time")
+
+
 @query("candle_changes")
 def candle_changes(spark, folder):
     """Change feed of the tumbling candles; which batch a change falls into depends on the files."""

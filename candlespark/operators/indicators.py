@@ -250,13 +250,17 @@ def volume_analysis(candles: DataFrame, n: int = 20, series: Series = CANDLES) -
     return volume_ratio(candles, n, series).withColumn("taker_buy_share", F.try_divide("taker_buy_volume", "volume"))
 
 
+def crossing(price: str, threshold: float) -> Column:
+    """"up" or "down" where ``price`` crosses the threshold after ``previous``, else null."""
+    up = (F.col("previous") < threshold) & (F.col(price) >= threshold)
+    down = (F.col("previous") >= threshold) & (F.col(price) < threshold)
+    return F.when(up, "up").when(down, "down")
+
+
 def price_alerts(candles: DataFrame, threshold: float, series: Series = CANDLES, price: str = "close") -> DataFrame:
     """Rows where the price crosses the threshold, with the direction."""
 
     def add(rows: DataFrame, w: WindowSpec) -> DataFrame:
-        rows = rows.withColumn("previous", F.lag(price, 1).over(w))
-        up = (F.col("previous") < threshold) & (F.col(price) >= threshold)
-        down = (F.col("previous") >= threshold) & (F.col(price) < threshold)
-        return rows.withColumn("direction", F.when(up, "up").when(down, "down"))
+        return rows.withColumn("previous", F.lag(price, 1).over(w)).withColumn("direction", crossing(price, threshold))
 
     return over_series(candles, series, 1, add).where(F.col("direction").isNotNull())

@@ -45,8 +45,8 @@ def _newest_base(spark: SparkSession, path: str, upto: int | None) -> int | None
     return max((n for n in numbers if upto is None or n <= upto), default=None)
 
 
-def latest_candles_view(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
-    """Current row of every key, or the row as of batch ``upto``."""
+def logged_candles(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Rows that may be the current ones as of batch ``upto``: the newest base and the batches after it."""
     log = read_log(spark, path)
     if upto is not None:
         log = log.where(F.col(BATCH) <= upto)
@@ -54,7 +54,12 @@ def latest_candles_view(spark: SparkSession, path: str, upto: int | None = None)
     if base_id is not None:
         base = spark.read.schema(schemas.CANDLE).parquet(f"{path}/base/upto={base_id}")
         log = log.where(F.col(BATCH) > base_id).unionByName(base.withColumn(BATCH, F.lit(base_id).cast("long")))
-    return latest_by_key(log)
+    return log
+
+
+def latest_candles_view(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Current row of every key, or the row as of batch ``upto``."""
+    return latest_by_key(logged_candles(spark, path, upto))
 
 
 def compact(spark: SparkSession, path: str, upto: int) -> None:

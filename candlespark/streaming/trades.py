@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, WindowSpec
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlespark import schemas
 from candlespark.operators.bars import ohlcv
-from candlespark.operators.indicators import price_alerts
+from candlespark.operators.blocks import CANDLES, over_series
+from candlespark.operators.indicators import crossing
 from candlespark.operators.ingest import dedup_trades
-from candlespark.sinks.candle_log import append_candle_log, latest_candles_view
+from candlespark.sinks.candle_log import BATCH, append_candle_log, latest_by_key, logged_candles
 from candlespark.sources.messages import trades_to_json
 
 
@@ -147,18 +149,45 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
 
 
 def alert_on_batch(path: str, target: str, threshold: float) -> Callable[[DataFrame, int], None]:
-    """A batch callback that writes the threshold crossings of the candles a batch changed.
+    """A batch callback that writes the crossing, or its absence, at every candle that a batch may have affected.
 
-    Crossings need the candle before, so they are taken from the merged table, and kept where the
-    batch changed the candle. A repeated batch replaces its own alerts.
+    A crossing depends on a candle and the one before it, so the changed candles and their successors are judged again;
+    ``latest_alerts`` gives what holds. Of the history only the stretch of each symbol from the candle before its first
+    change to the candle after its last one is merged; finding its ends takes two columns of the log and no shuffle of
+    candles. A repeated batch replaces its own rows.
     """
 
     def alert(batch: DataFrame, batch_id: int) -> None:
-        merged = latest_candles_view(batch.sparkSession, path, batch_id).select("symbol", "start_time", "close")
-        changed = batch.sparkSession.read.schema(schemas.CANDLE).parquet(f"{path}/log/batch_id={batch_id}")
-        crossings = price_alerts(merged, threshold).join(
-            changed.select("symbol", "start_time"), ["symbol", "start_time"], "left_semi"
+        spark = batch.sparkSession
+        log = logged_candles(spark, path, batch_id).select("symbol", "start_time", "close", BATCH)
+        changed = spark.read.schema(schemas.CANDLE).parquet(f"{path}/log/batch_id={batch_id}").select("symbol", "start_time")
+        span = changed.groupBy("symbol").agg(F.min("start_time").alias("first"), F.max("start_time").alias("last"))
+        start = F.col("start_time")
+        ends = log.select("symbol", "start_time").join(span, "symbol").groupBy("symbol").agg(
+            F.coalesce(F.max(F.when(start < F.col("first"), start)), F.min("first")).alias("low"),
+            F.coalesce(F.min(F.when(start > F.col("last"), start)), F.max("last")).alias("high"),
         )
-        crossings.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        near = log.join(ends, "symbol").where(start.between(F.col("low"), F.col("high"))).select(log.columns)
+        merged = latest_by_key(near, ("symbol", "start_time"))
+        marked = merged.join(changed.withColumn("changed", F.lit(True)), ["symbol", "start_time"], "left")
+        judged = price_crossings(marked, threshold)
+        judged = judged.where(F.col("changed") | F.col("previous_changed"))
+        judged.select("symbol", "start_time", "close", "previous", "direction").write.mode("overwrite").parquet(f"{target}/batch_id={int(batch_id)}")
 
     return alert
+
+
+def price_crossings(marked: DataFrame, threshold: float) -> DataFrame:
+    """Every row with the price before it, the crossing (or null), and whether the row before was ``changed``."""
+
+    def add(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        rows = rows.withColumns({"previous": F.lag("close", 1).over(w), "previous_changed": F.lag("changed", 1).over(w)})
+        return rows.withColumn("direction", crossing("close", threshold))
+
+    return over_series(marked, CANDLES, 1, add)
+
+
+def latest_alerts(spark: SparkSession, target: str) -> DataFrame:
+    """The crossings that hold after all batches."""
+    logged = "symbol string, start_time timestamp, close double, previous double, direction string, batch_id bigint"
+    return latest_by_key(spark.read.schema(logged).parquet(target), ("symbol", "start_time")).where("direction IS NOT NULL")

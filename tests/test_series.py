@@ -219,6 +219,19 @@ def test_risk_metrics(spark):
     assert got["B"].volatility is None
 
 
+@pytest.mark.parametrize("block", [2, 256])
+def test_return_correlation_with_a_large_mean_and_blocks(spark, block):
+    random = np.random.default_rng(3)
+    values = random.normal(0, 1e-3, (300, 5)) + 1e6
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"S{j}", start + dt.timedelta(minutes=10 * i), float(values[i, j])) for i in range(300) for j in range(5)]
+    df = spark.createDataFrame(rows, "symbol string, start_time timestamp, log_return double")
+    got = {(r.symbol_a, r.symbol_b): r.correlation for r in stats.return_correlation(df, block=block).collect()}
+    centred = values - values.mean(axis=0)
+    want = np.corrcoef(centred.T)
+    assert len(got) == 10 and all(got[f"S{i}", f"S{j}"] == pytest.approx(want[i, j], abs=1e-6) for i in range(5) for j in range(i + 1, 5))
+
+
 def test_return_correlation_over_common_bars(spark):
     rng = np.random.default_rng(5)
     wide = pd.DataFrame(rng.normal(size=(200, 4)), columns=list("ABCD"))

@@ -141,8 +141,13 @@ def test_alerts_per_batch(spark, source):
     paths = jobs.StreamPaths(shared_dir(spark, "stream"))
     alerts = jobs.alert_on_batch(paths.data("c"), paths.data("alerts"), 3.0)
     run(jobs.start_candles(stream(spark, folder), paths.data("c"), paths.checkpoint("c"), available_now=True, on_batch=alerts))
-    got = {(r.start_time.minute, r.direction) for r in spark.read.parquet(paths.data("alerts")).collect()}
+    got = {(r.start_time.minute, r.direction) for r in jobs.latest_alerts(spark, paths.data("alerts")).collect()}
     assert got == {(1, "up"), (2, "down")}
+    # A late trade closes minute 0 above the threshold: the crossing at minute 1 no longer holds, though its candle is the same.
+    add([("A", 9, START + dt.timedelta(seconds=30), 4.0, 1.0, False)])
+    run(jobs.start_candles(stream(spark, folder), paths.data("c"), paths.checkpoint("c"), available_now=True, on_batch=alerts))
+    got = {(r.start_time.minute, r.direction) for r in jobs.latest_alerts(spark, paths.data("alerts")).collect()}
+    assert got == {(2, "down")}
 
 
 def test_published_messages_are_the_source_of_the_next_job(spark, source):
