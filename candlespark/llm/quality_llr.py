@@ -2,7 +2,7 @@
 
 Tokens (letter and digit runs, and runs of other printable characters) and pairs of neighbouring tokens are
 hashed into ``buckets`` counters. Two multinomials with add-one smoothing come from them: the raw one from every
-document, the target one from trusted documents. A document's score is the mean log ratio of its n-grams; it is
+document, the target one from every trusted document. A document's score is the mean log ratio of its n-grams; it is
 kept if the score reaches ``threshold`` and no base rule fails. Every document is decided, none by chance.
 
 Edge cases: a null or blank text has no words, fails the base rule and scores 0. Without trusted documents every
@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlespark.llm.common import fresh, words
+from candlespark.session import materialize
 
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 16384
-TRUSTED_ROWS = 20_000
 THRESHOLD = -0.25
 WINDOW = 5
 
@@ -40,17 +40,16 @@ def with_grams(df: DataFrame, text: Column, name: str, buckets: int) -> DataFram
     return df.withColumn(name, F.concat(*grams(F.col(tokens), buckets))).drop(tokens)
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``rows`` ids of documents labelled good, chosen by a hash of the id."""
-    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Distinct ids of all documents labelled good."""
+    return labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
-def fit_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> list[float]:
-    """Log ratio of each bucket. Raw counts cover all documents; only ``buckets`` rows reach the driver."""
-    ids = trusted_ids(labels, trusted_rows).select(F.col("doc_id"), F.lit(1).alias("trusted"))
-    # The size of ids is bounded by trusted_rows, so it may be broadcast.
-    flagged = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left")
+def fit_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
+    """Log ratio of each bucket, counted over all documents and all trusted ones; only ``buckets`` rows reach the driver."""
+    # Written out, so that the planner knows their size: few ids are broadcast, many are joined by shuffle.
+    ids = materialize(trusted_ids(labels), "trusted-ids").withColumn("trusted", F.lit(1))
+    flagged = docs.select("doc_id", "text").join(ids, "doc_id", "left")
     counted = (
         with_grams(flagged.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "text"), F.col("text"), "grams", buckets)
         .select("trusted", F.explode("grams").alias("bucket"))

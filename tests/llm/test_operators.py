@@ -127,6 +127,12 @@ def test_quality_keeps_columns_and_separates(spark, docs, none):
     assert quality_llr.keep_good(none, labels).count() == 0
 
 
+def test_every_trusted_document_counts(spark):
+    # All are trusted, so that both multinomials are the same: a document left out would lower its own word.
+    df = spark.range(30_000).selectExpr("id AS doc_id", "concat('word', id) AS text", "1 AS quality")
+    assert set(quality_llr.fit_weights(df.select("doc_id", "text"), df.select("doc_id", "quality"))) == {0.0}
+
+
 def test_mix(docs, none, texts):
     rows = mixing.mix_figures(docs).collect()
     assert len(rows) == len(texts) and all(r.taken <= 3 * r["size"] for r in rows)
