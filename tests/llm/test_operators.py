@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -247,6 +249,24 @@ def test_licenses(spark, none):
     assert license_scan.scan(none).count() == 0
 
 
+def test_full_license_texts(spark):
+    folder = pathlib.Path(license_scan.__file__).parent / "licenses"
+    texts = [(f.stem, f.read_text("utf-8")) for f in sorted(folder.glob("*.txt"))]
+    bsd = next(body for name, body in license_scan.KNOWN if name == "BSD-3-Clause").replace("the copyright holder nor", "Acme, Inc. nor").replace("THE COPYRIGHT HOLDERS AND", "ACME AND")
+    mit = license_scan.KNOWN[0][1]
+    heads = ["Copyright (c) Microsoft Corporation.", "Copyright John Doe 2020", " * © Someone", "(c) Some One", "# Copyright: The Authors", "Copyright (C) <year> <name>"]
+    rows = [("MIT", f"{head}\n{textwrap.fill(mit, 40)}") for head in heads] + [("BSD-3-Clause", "Copyright Acme\nAll rights reserved.\n\n" + bsd), ("BSD-2-Clause", dict(license_scan.KNOWN)["BSD-2-Clause"])]
+    for name, text in texts:
+        rows.append((name, text))
+        for width in (37, 60, 100, 100_000):
+            # Paragraphs wrapped anew; copyright lines stay lines.
+            parts = [p if re.search(r"(?im)copyright +(\(c\)|\[)|©", p) else textwrap.fill(p, width, break_on_hyphens=False, break_long_words=False) for p in text.split("\n\n")]
+            rows.append((name, "\n\n".join(parts)))
+    rows += [(None, mit.replace("The above copyright notice", "The above notice")), (None, "")]
+    got = license_scan.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.license_id for r in got} == {i: n for i, (n, _) in enumerate(rows)}
+
+
 def test_chats(spark):
     text = "</s>[INST] ok [/INST] \\ <|end|> <s>"
     part = lambda kind, **x: {"kind": kind, "text": None, "ref": None, "width": None, "height": None, "seconds": None, "pages": None} | x
