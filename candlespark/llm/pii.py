@@ -2,7 +2,8 @@
 
 One pattern splits a text into entities and the stretches between them. A surrogate is a function of a secret key,
 the entity's canonical form and an attempt number, so equal entities get equal surrogates everywhere
-(coreference). It keeps the type: names follow the gender of their title and their script, numbers, keys and
+(coreference). It is drawn once per form, without separators, and then poured into each spelling's separators: a number
+written in two formats, or a title with and without a dot, stays one entity. It keeps the type: names follow the gender of their title and their script, numbers, keys and
 passwords keep every separator, letter case and digit position, card numbers pass the Luhn test, addresses come
 from reserved ranges and domains.
 
@@ -50,6 +51,10 @@ PATTERNS = (
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("name", rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"),
 )
+#: Types of which letters and digits count, not the separators.
+NUMBERS = ("phone", "card", "iban", "ssn")
+#: A country code: all lengths follow from the first digits.
+COUNTRY = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 ENTITY = "|".join(f"(?:{pattern})" for _, pattern in PATTERNS)
 #: What any entity has; texts without it skip the long pattern.
 HINT = rf"[0-9@]|(?i:password|passwd|api_?key|token|secret)|{_TITLES}"
@@ -69,15 +74,31 @@ def kind(entity: Column) -> Column:
 
 
 def canonical(entity: Column, k: Column) -> Column:
-    """The form in which entities are the same: type, then letters and digits that count."""
+    """The form in which entities are the same: type, then letters and digits that count.
+
+    A phone's plus counts, as only with it the number starts with a country code. A title's dot does not.
+    """
     form = (
         F.when(k == "email", F.lower(entity))
-        .when(k.isin("phone", "card", "iban", "ssn"), F.regexp_replace(entity, r"[^0-9A-Za-z]", ""))
+        .when(k.isin(*NUMBERS), F.regexp_replace(entity, r"[^0-9A-Za-z+]", ""))
+        .when(k == "name", F.regexp_replace(entity, rf"^({_TITLES})\. ", "$1 "))
         .otherwise(entity)
     )
     return F.concat(k, F.lit(":"), form)
 
 
+def pour(entity: Column, k: Column, surrogate: Column) -> Column:
+    """A form's surrogate in the spelling of one of its entities: its separators, or its title's dot."""
+    gaps = F.split(entity, "[0-9A-Za-z+]", -1)
+    filled = F.zip_with(gaps, F.split(surrogate, ""), lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    dotted = F.regexp_replace(surrogate, rf"^({_TITLES}) ", "$1. ")
+    return (
+        F.when(k.isin(*NUMBERS), F.array_join(filled, ""))
+        .when((k == "name") & entity.rlike(rf"^(?:{_TITLES})\. "), dotted)
+        .otherwise(surrogate)
+    )
+
+
 def _number(digest: Column, place: Column | int, below: int) -> Column:
     """Number ``place`` of a 128-digit hex digest, each four digits."""
     start = (F.lit(place) if isinstance(place, int) else place) % 32 * 4 + 1
@@ -148,7 +169,7 @@ def _name(entity: Column, digest: Column) -> Column:
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """Adds ``surrogate`` to rows of ``entity, kind, form, attempt``."""
+    """Adds ``surrogate`` to rows of ``entity, kind, form, attempt``, where ``entity`` is the form without its type."""
     # Columns in layers: each is computed once per entity, however often the next layer reads it.
     entity, digest = F.col("entity"), F.col("digest")
     df = entities.withColumn("digest", F.sha2(F.concat_ws("|", F.lit(key), F.col("attempt").cast("string"), "form"), 512))
@@ -156,7 +177,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     lead = (
         F.when(F.col("kind") == "email", "")
         .when(F.col("kind") == "secret", F.regexp_extract(entity, r"^(AKIA|\"|\w+\s*[=:]\s*)", 1))
-        .when(F.col("kind") == "phone", F.regexp_extract(entity, r"^(\+\d{1,3}(?=[^\d])|)", 1))
+        .when(F.col("kind") == "phone", F.regexp_extract(entity, rf"^(\+(?:{COUNTRY})|)", 1))
         .when(F.col("kind") == "card", F.substring(entity, 1, 1))
         .when(F.col("kind") == "iban", F.substring(entity, 1, 2))
         .otherwise("")
@@ -180,13 +201,13 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def attempts(entities: DataFrame, key: str, most: int = 50) -> DataFrame:
-    """``form, attempt``: the first attempt by which every form has a surrogate of its own.
+    """``form, kind, entity, attempt``: the first attempt by which every form has a surrogate of its own.
 
-    ``entities``: ``entity, kind, form``. Rounds go on until no two forms share a surrogate and none equals an entity
+    ``entities``: ``kind, form``; the result's ``entity`` is the form without its type. Rounds go on until no two forms share a surrogate and none equals an entity
     of the table; each round writes its state.
     """
-    # Entities of one form may be spelled differently; the smallest spelling stands for the form.
-    state = entities.groupBy("form", "kind").agg(F.min("entity").alias("entity")).withColumn("attempt", F.lit(0))
+    bare = F.col("form").substr(F.length("kind") + 2, F.length("form"))
+    state = entities.select("form", "kind").distinct().withColumns({"entity": bare, "attempt": F.lit(0)})
     rows = entities.count()
     state = stored(state, "pii-forms", rows)
     forms = state.select(F.col("form").alias("mark"))
@@ -199,7 +220,7 @@ def attempts(entities: DataFrame, key: str, most: int = 50) -> DataFrame:
         losers = given.join(contested, "mark").filter("winner IS NULL OR winner <> form").select("form")
         losers = stored(losers.distinct(), "pii-collisions", rows)
         if losers.isEmpty():
-            return state.select("form", "attempt")
+            return state
         raised = state.join(losers.withColumn("more", F.lit(1)), "form", "left").withColumn("attempt", F.col("attempt") + F.coalesce("more", F.lit(0)))
         state = stored(raised.select("form", "kind", "entity", "attempt"), "pii-forms", rows)
     raise RuntimeError(f"{most} attempts left surrogates that collide; the table has more entities of a type than its format allows")
@@ -216,7 +237,8 @@ def protect(docs: DataFrame, key: str) -> DataFrame:
     rows = occurring.count()
     entities = occurring.select("entity").distinct().withColumn("kind", kind(F.col("entity")))
     entities = stored(entities.withColumn("form", canonical(F.col("entity"), F.col("kind"))), "pii-entities", rows)
-    given = surrogates(entities.join(attempts(entities, key), "form"), key).select("entity", "surrogate")
+    drawn = surrogates(attempts(entities, key), key).select("form", "surrogate")
+    given = entities.join(drawn, "form").select("entity", pour(F.col("entity"), F.col("kind"), F.col("surrogate")).alias("surrogate"))
     per_text = occurring.join(given, "entity").groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("given"))
     # Only texts with entities are shuffled.
     held = held.withColumn("text_key", text_key(F.col("text"))).join(per_text, "text_key")

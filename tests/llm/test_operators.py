@@ -223,6 +223,30 @@ def test_surrogates(spark, none):
     assert pii.protect(none, "k").count() == 0
 
 
+def test_spellings_of_one_entity_stay_one(spark):
+    groups = [
+        ["4539148803436467", "4539 1488 0343 6467", "4539-1488-0343-6467"],
+        ["+1 (555) 123-4567", "+15551234567", "+1-555-123-4567"],
+        ["(555) 123-4568", "555-123-4568"],
+        ["+44 20 7946 0958", "+442079460958"],
+        ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000"],
+        ["Mr Smith", "Mr. Smith"],
+        ["Frau Anna Schulz", "Frau. Anna Schulz"],
+    ]
+    spelled = [(i, e) for i, group in enumerate(groups) for e in group]
+    df = spark.createDataFrame([(i, f"see {e}, again") for i, (_, e) in enumerate(spelled)], "doc_id long, text string")
+    got = {r.doc_id: r.text.removeprefix("see ").removesuffix(", again") for r in pii.protect(df, "k").collect()}
+    bare = lambda e: re.sub(r"[^\w+]", "", e)
+    shape = lambda e: re.sub(r"\d", "9", re.sub(r"[A-Z]", "A", e))
+    forms = collections.defaultdict(set)
+    for i, (group, e) in enumerate(spelled):
+        assert got[i] != e and (group > 4 or shape(got[i]) == shape(e)), (e, got[i])
+        assert ("." in e) == ("." in got[i])
+        forms[group].add(bare(got[i]))
+    assert all(len(x) == 1 for x in forms.values()) and len(set().union(*forms.values())) == len(groups)
+    assert got[3].startswith("+1 (") and got[8].startswith("+44 ") and got[10].startswith("DE")
+
+
 def test_colliding_surrogates_are_told_apart(spark):
     # All addresses of one block, so that first choices collide with each other or with real ones.
     rows = [(i, f"ip 240.{i % 16}.0.{i // 16 + 1}") for i in range(2000)]
