@@ -8,7 +8,8 @@ agreement, and estimates clearly below the threshold are dropped; the rest is co
 A band's members are not paired with each other: first each is compared with the band's smallest class, then in
 ``ROUNDS`` rounds with one drawn for each band. Bands whose members are linked by then need nothing more; in the
 others, members of different components are compared, all of them, block by block inside tasks that return only
-pairs whose estimate passes and whose parity bits leave a link possible. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by the bands themselves (chance 5e-8 at 0.8).
+pairs whose estimate passes and whose parity bits leave a link possible. So a large group of copies costs a few pairs per member, and no link between different texts is lost but by
+the bands themselves (chance 4.7e-8 at 0.8) or by the estimate (4.3e-9): 5.2e-8 at most together.
 
 Edge cases: a text with fewer words than ``size`` has its whole sequence as one shingle; a null or blank text has an
 empty set, is linked with nothing and is its own component. Repeated rows have equal sets, hence one component.
@@ -27,8 +28,9 @@ from candlespark.session import materialize
 
 HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
-#: Estimates below the threshold by more than this are dropped: about 4.8 deviations.
-MARGIN = 0.2
+#: Estimates below the threshold by more than this are dropped. At similarity 0.8 equal minima are Bin(128, 0.85), and fewer
+#: than the 83 that pass have a chance of 4.3e-9, below that of the bands.
+MARGIN = 0.27
 #: Remainders whose parities bound how much two sets can overlap.
 PARITIES = 2048
 #: Rows of a block, of which two are compared at a time.

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import pathlib
 import random
 import re
@@ -105,6 +106,14 @@ def test_near_duplicates(docs, none, texts):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_estimate_drops_fewer_links_than_the_bands():
+    d, chance = near_dedup, 0.5**near_dedup.BITS
+    equal = 0.8 + 0.2 * chance
+    passing = math.ceil(d.HASHES * (chance + (1 - chance) * (0.8 - d.MARGIN)))
+    dropped = sum(math.comb(d.HASHES, i) * equal**i * (1 - equal) ** (d.HASHES - i) for i in range(passing))
+    assert dropped < (1 - 0.8**d.ROWS) ** d.BANDS < 5e-8
+
+
 def test_base_rules(docs, texts):
     def expected(text):
         text = text or ""
