@@ -66,15 +66,15 @@ def window_features(
 
 
 def hourly_pivot(
-    df: DataFrame, symbols: list[str], time: str = "open_datetime", price: str = "close"
+    df: DataFrame, symbols: list[str] | None = None, time: str = "open_datetime", price: str = "close"
 ) -> DataFrame:
     """Mean price per date and hour, one column per symbol.
 
-    The symbols are passed in: without them Spark runs an extra job that collects the distinct ones.
+    Without ``symbols`` Spark runs an extra job that collects the distinct ones; with them other symbols have no column.
     """
     return (
         df.withColumn("hour", F.hour(time))
         .groupBy("partition_date", "hour")
-        .pivot("symbol", sorted(symbols))
+        .pivot("symbol", sorted(symbols) if symbols is not None else None)
         .agg(F.avg(price))
     )

@@ -25,7 +25,6 @@ from candlespark.operators.ingest import (
 )
 from candlespark.sinks.tables import write_dynamic, write_full
 from candlespark.sources.lake import rows_since, scan_klines, table_since
-from candlespark.sources.reference_data import BATCH_SYMBOLS
 
 LAKE_KEYS = ["symbol", "year", "month", "day"]
 TABLE_KEYS = ["partition_date", "symbol"]
@@ -62,9 +61,9 @@ def warehouse_rows(lake: DataFrame, unit: str = "ns") -> DataFrame:
 
 
 def load_range(
-    spark: SparkSession, lake_root: str, table: str, start: dt.date, end: dt.date, symbols=BATCH_SYMBOLS
+    spark: SparkSession, lake_root: str, table: str, start: dt.date, end: dt.date, symbols=None
 ) -> None:
-    """Load all symbols of the days ``start..end`` with one pruned scan and one write."""
+    """Load the days ``start..end`` with one pruned scan and one write: all symbols of the lake, or only ``symbols``."""
     lake = scan_klines(spark, lake_root, start, end, list(symbols) if symbols is not None else None)
     write_dynamic(warehouse_rows(lake), table, TABLE_KEYS)
 
@@ -145,7 +144,7 @@ def run_incremental(
     mark: HighWaterMark,
     today: dt.date,
     only_day: dt.date | None = None,
-    symbols=BATCH_SYMBOLS,
+    symbols=None,
     days_per_write: int = 31,
 ) -> dt.date | None:
     """Load the pending days; returns the last loaded day.
@@ -153,6 +152,7 @@ def run_incremental(
     Days are loaded in ranges: one pruned scan and one write per range, after which the mark moves to the
     day behind it. A failure is raised and leaves the mark in front of the failed range; a retry
     replaces the same partitions. ``only_day`` loads that day and does not move the mark.
+    Without ``symbols`` every symbol of the days is loaded; with them the mark moves past the other symbols' rows.
     """
     if only_day is not None:
         load_range(spark, lake_root, table, only_day, only_day, symbols)

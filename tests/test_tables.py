@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlespark import schemas
-from candlespark.operators import enrich
+from candlespark.operators import enrich, features
 from candlespark.operators.blocks import Series
 from candlespark.plans import klines as plans
 from candlespark.session import shared_dir
@@ -163,6 +163,18 @@ def test_mark_moves_only_over_loaded_days(spark, lake_root, monkeypatch):
     assert plans.run_incremental(spark, lake_root, table, mark, today) is None
 
 
+def test_symbols_outside_the_fixed_list_are_loaded(spark):
+    root, table, mark = shared_dir(spark, "lake"), shared_dir(spark, "warehouse"), plans.HighWaterMark(spark, shared_dir(spark, "mark"))
+    open_time = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 10**9
+    rows = [(open_time, *[1.0] * 6, 1, 1.0, 1.0, symbol, 2024, 1, 1) for symbol in ("BTCUSDT", "NEWUSDT")]
+    tables.write_dynamic(spark.createDataFrame(rows, schemas.LAKE_KLINE), root, plans.LAKE_KEYS)
+    mark.write(DAY)
+    plans.run_incremental(spark, root, table, mark, DAY + dt.timedelta(days=1))
+    loaded = lake.table_since(spark, table, DAY)
+    assert {r.symbol for r in loaded.collect()} == {"BTCUSDT", "NEWUSDT"}
+    assert {"BTCUSDT", "NEWUSDT"} <= set(features.hourly_pivot(loaded).columns)
+
+
 def test_a_named_day_does_not_move_the_mark(spark, lake_root):
     table, mark = shared_dir(spark, "warehouse"), plans.HighWaterMark(spark, shared_dir(spark, "mark"))
     mark.write(DAY)
