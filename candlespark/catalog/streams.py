@@ -158,13 +158,21 @@ def stream_late_data(spark, folder):
 SELECT {CANDLE_COLUMNS} FROM candles""",
 )
 def upsert_latest(spark, folder):
-    """The log of a stream that saw each day in four parts: the newest version of a candle is the whole day."""
-    trades = b.trades(spark, folder)
-    part = F.call_function("div", F.hour("timestamp"), F.lit(6)).cast("long")
-    # A trade counts in the version of its own part of the day and in all later ones.
-    versions = trades.withColumn("batch_id", F.explode(F.sequence(part, F.lit(3).cast("long"))))
-    log = ohlcv(versions.withColumn("symbol", F.struct("symbol", "batch_id")), "1 day")
-    log = log.withColumns({"batch_id": F.col("symbol.batch_id"), "symbol": F.col("symbol.symbol")})
-    return candle_log.latest_by_key(log)
-
-
+    """A candle log in four batches, one per part of the day, with one replayed and a base: the view shows the whole days."""
+    trades, path = b.trades(spark, folder), shared_dir(spark, "candles")
+    trades = trades.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    part = F.call_function("div", F.hour("timestamp"), F.lit(6))
+    same = [F.col(c).eqNullSafe(F.col(f"changed_{c}")) for c in schemas.CANDLE_KEY]
+
+    def append(batch: int) -> None:
+        # As in update mode: the candles that the batch's trades changed, over all trades so far.
+        changed = ohlcv(trades.where(part == batch), "1 day").select(*[F.col(c).alias(f"changed_{c}") for c in schemas.CANDLE_KEY])
+        candle_log.append_candle_log(ohlcv(trades.where(part <= batch), "1 day").join(changed, same, "left_semi"), batch, path)
+
+    for batch in range(4):
+        append(batch)
+        if batch == 1:
+            candle_log.compact(spark, path, batch)
+        if batch == 2:
+            append(batch)
+    return b.naive(candle_log.latest_candles_view(spark, path), "start_time", "end_time")

@@ -177,3 +177,14 @@ def test_broker_options():
     assert read["maxOffsetsPerTrigger"] == "50000"
     write = broker_write_options("host:9092", "trades")
     assert (write["topic"], write["kafka.compression.type"], write["kafka.batch.size"]) == ("trades", "gzip", "32768")
+
+
+def test_the_upsert_query_writes_replays_and_compacts_a_log(spark, monkeypatch):
+    from candlespark.catalog import QUERIES, streams
+
+    calls = []
+    for name in ("append_candle_log", "compact", "latest_candles_view"):
+        real = getattr(streams.candle_log, name)
+        monkeypatch.setattr(streams.candle_log, name, lambda *a, name=name, real=real: (calls.append(name), real(*a))[1])
+    rows = QUERIES["upsert_latest"](spark, "/root/testdata/sf0.001").collect()
+    assert rows and calls.count("append_candle_log") == 5 and "compact" in calls and calls[-1] == "latest_candles_view"
