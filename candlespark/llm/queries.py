@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm import chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, topk_search
+from candlespark.llm import centroids, chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, topk_search
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -96,3 +96,33 @@ FROM s QUALIFY rank <= 5"""
 @query
 def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents"), 400).drop("spans")
+
+
+@query
+def op11_integer_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def _kmeans_sql(rounds: int) -> str:
+    """The rounds written out one after the other."""
+    steps = ["""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        """c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS c, q FROM v QUALIFY c < 16)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS MATERIALIZED (
+  SELECT vec_id, v.q, c, list_sum(list_transform(list_zip(v.q, c{i}.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM v, c{i} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(m.q, c{i}.q) AS q FROM c{i} LEFT JOIN (
+    SELECT c, list(s ORDER BY i) AS q FROM (
+      SELECT c, i, (sum(x) - (sum(x) % count(*) + count(*)) % count(*))::BIGINT // count(*) AS s
+      FROM (SELECT c, unnest(q) AS x, unnest(range(64)) AS i FROM d{i}) GROUP BY c, i) GROUP BY c) m ON m.c = c{i}.c)""")
+    return "WITH " + ",\n".join(steps[:-1]) + f"""
+SELECT vec_id, d.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY d.c)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM d{rounds} d JOIN c{rounds} ON d.c = c{rounds}.c"""
+
+
+SQL["op11_integer_kmeans"] = _kmeans_sql(3)
