@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm import centroids, chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, topk_search
+from candlespark.llm import centroids, chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, token_windows, topk_search
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -126,3 +126,20 @@ FROM d{rounds} d JOIN c{rounds} ON d.c = c{rounds}.c"""
 
 
 SQL["op11_integer_kmeans"] = _kmeans_sql(3)
+
+
+@query
+def op13_rabin_karp_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return token_windows.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+SQL["op13_rabin_karp_windows"] = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(len(w) - 19)) AS s FROM d WHERE len(w) >= 20),
+x AS (SELECT doc_id, s, first_value((doc_id, s)) OVER (PARTITION BY md5(array_to_string(w[s + 1 : s + 20], ' ')) ORDER BY doc_id, s) AS f FROM s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM x WHERE (doc_id, s) > f),
+left_over AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)"""
