@@ -45,3 +45,12 @@ def stored(df: DataFrame, name: str, rows: int) -> DataFrame:
     """
     least = 2 * df.sparkSession.sparkContext.defaultParallelism
     return materialize(df.coalesce(max(least, -(-rows // ROWS_PER_TASK))), name)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    files = table.inputFiles()
+    if files:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlespark.llm import centroids, chat_format, license_scan, mixing, near_dedup, packing, pii, pu_quality, quality_llr, repeats, token_windows, topk_search
+from candlespark.llm import centroids, chat_format, license_scan, mixing, near_dedup, packing, pii, prefix_trie, pu_quality, quality_llr, repeats, token_windows, topk_search
 from candlespark.llm.common import table
 from candlespark.session import configure
 
@@ -133,13 +133,57 @@ def op13_rabin_karp_windows(spark: SparkSession, folder: str) -> DataFrame:
     return token_windows.remove_repeats(table(spark, folder, "documents")).drop("spans")
 
 
-SQL["op13_rabin_karp_windows"] = r"""
+_AHEAD = ", ".join(f"lead(w, {k}) OVER o" for k in range(20))
+
+SQL["op13_rabin_karp_windows"] = rf"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
-s AS (SELECT doc_id, w, unnest(range(len(w) - 19)) AS s FROM d WHERE len(w) >= 20),
-x AS (SELECT doc_id, s, first_value((doc_id, s)) OVER (PARTITION BY md5(array_to_string(w[s + 1 : s + 20], ' ')) ORDER BY doc_id, s) AS f FROM s),
-gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM x WHERE (doc_id, s) > f),
-left_over AS (
-  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept, count(*) AS n
-  FROM (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i FROM d) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
-FROM d LEFT JOIN left_over USING (doc_id)"""
+t AS (SELECT doc_id, unnest(w) AS w, unnest(range(len(w))) AS i, len(w) AS n FROM d),
+k AS (
+  SELECT doc_id, i, w, CASE WHEN i + 20 <= n THEN md5(concat_ws(' ', {_AHEAD})) END AS k FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT k, min((doc_id, i)) AS f FROM k WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1),
+h AS (SELECT doc_id, i, w, coalesce((doc_id, i) > f, false) AS h FROM k LEFT JOIN f USING (k)),
+g AS (SELECT doc_id, i, w, max(h) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM h),
+r AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) FILTER (NOT gone) AS kept, count(*) FILTER (gone) AS n_removed FROM g GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+SQL["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 6 AS head
+  FROM n),
+r AS (
+  SELECT h.conv_id, pos, role, text FROM h JOIN t ON t.conv_id = base AND pos < head
+  UNION ALL
+  SELECT h.conv_id, least(head, coalesce(n.own, 0)) + pos - head, role, text
+  FROM h JOIN t USING (conv_id) LEFT JOIN n ON n.conv_id = base WHERE pos >= head),
+p AS (
+  SELECT conv_id, pos + 1 AS depth, length(text) AS len,
+    string_agg(md5(length(role) || ':' || role || text), '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos) AS k
+  FROM r UNION ALL SELECT conv_id, 0, 0, '' FROM n),
+m AS (SELECT *, lead(k) OVER w IS NULL AS last, lag(k) OVER w AS parent FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+v AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(len) AS len, max(parent) AS parent,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM m GROUP BY k, depth),
+c AS (SELECT parent AS k, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY parent),
+u AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN c USING (k)),
+s AS (
+  SELECT x.a AS k, sum((n_convs - 1) * len) AS saved, sum((n_children = 0)::INT) AS leaves
+  FROM (SELECT DISTINCT a.k AS a, b.k AS b FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.depth >= a.depth) x JOIN u ON u.k = x.b GROUP BY x.a)
+SELECT u.conv_id, u.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, u.n_convs, u.n_children::BIGINT AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, u.ends_sha256
+FROM u JOIN s USING (k) LEFT JOIN v o ON o.k = u.parent AND o.depth = u.depth - 1"""
