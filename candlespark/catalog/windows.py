@@ -267,6 +267,27 @@ def return_correlation(spark, folder):
     return b.rounded(stats.return_correlation(returns), "correlation")
 
 
+_PRICES = """p AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS start_time, max(l_extendedprice / l_quantity) AS price
+  FROM lineitem GROUP BY 1, 2)"""
+
+
+@query(
+    "sparse_correlation",
+    f"""WITH {_PRICES}
+SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, count(*) AS common_bars,
+       CASE WHEN stddev_pop(a.price) > 0 AND stddev_pop(b.price) > 0 THEN {r6('corr(a.price, b.price)')} END AS correlation
+FROM p a JOIN p b ON a.start_time = b.start_time AND a.symbol < b.symbol GROUP BY 1, 2""",
+)
+def sparse_correlation(spark, folder):
+    """Correlation of prices for all pairs of many symbols that share few days, about a year to a stretch."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    prices = lines.groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.col("l_shipdate").alias("start_time")).agg(
+        F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("price")
+    )
+    return b.rounded(stats.return_correlation(prices, value="price", stretch="365 days"), "correlation")
+
+
 @query(
     "portfolio_return",
     f"""WITH {_LR}

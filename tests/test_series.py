@@ -250,6 +250,24 @@ def test_return_correlation_over_common_bars(spark):
         assert row.correlation == (None if want is None else pytest.approx(want))
 
 
+@pytest.mark.parametrize("stretch", ["1 hour", "1 day", "365 days"])
+def test_return_correlation_ignores_times_of_one_symbol_only(spark, stretch):
+    """Values beside the common times, however large, and constants cost no digits."""
+    random = np.random.default_rng(9)
+    a, b = random.normal(size=(2, 200))
+    at = [START + dt.timedelta(minutes=17 * i) for i in range(202)]
+    rows = [(s, t, float(v)) for s, x in (("A", a), ("B", b), ("C", np.full(200, 1 / 3))) for t, v in zip(at, x)]
+    # D is far away except where it meets the others, E only meets F, in one bar.
+    rows += [("A", at[200], -1e6), ("E", at[201], 1.0), ("F", at[201], 2.0)]
+    rows += [("D", t, float(v)) for t, v in zip(at, a * 1e-3)] + [("D", t + dt.timedelta(seconds=1), 1e9) for t in at[:200] for _ in range(1)]
+    df = spark.createDataFrame(rows, "symbol string, start_time timestamp, log_return double")
+    got = {(r.symbol_a, r.symbol_b): r for r in stats.return_correlation(df, stretch=stretch).collect()}
+    assert got["A", "B"].correlation == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-12)
+    assert got["A", "D"].correlation == pytest.approx(1, abs=1e-6) and got["A", "D"].common_bars == 200
+    assert got["A", "C"].correlation is None and got["E", "F"].correlation is None and got["E", "F"].common_bars == 1
+    assert ("A", "E") not in got
+
+
 def test_next_bar_prediction_matches_direct_least_squares(spark):
     from candlespark.plans.prediction import lagged_returns, next_bar_prediction
 
