@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlespark.functions.time import micros, unix_micros
+from candlespark.operators.quantiles import join_on
 
 _CANDLE_COLUMNS = ("symbol", "start_time", "end_time", "open", "high", "low", "close", "volume", "trade_count")
 
@@ -43,26 +44,35 @@ def ohlcv(
     quantity: str = "quantity",
     tie: str | list[str] = "trade_id",
     sums: dict[str, Column] | None = None,
+    dense: bool = True,
 ) -> DataFrame:
     """Tumbling (or, with ``slide``, sliding) candles.
 
     Open and close belong to the first and last trade by ``(ts, tie)``, so that neither arrival order
     nor shuffle order can change them.
 
-    Batch input with one integral tie column goes through panes (see ``_paned``); streams and other tie
-    columns use one aggregation ordered by a struct. ``sums`` adds further summed columns by name.
+    Batch input with one integral tie column goes through panes in one pass (see ``_paned``). With several tie columns, a
+    tie that is no integer, or ids that are not ``dense`` (hashed, say), the extreme times are found first and ties only
+    among the trades at them (see ``_staged``). Streams use one aggregation ordered by a struct. ``sums`` adds further
+    summed columns by name.
     """
     sums = sums or {}
     ties = [tie] if isinstance(tie, str) else list(tie)
+    columns = (ts, symbol, price, quantity)
+    if trades.isStreaming:
+        return _ordered(trades, window, slide, *columns, ties, sums)
     integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    if not trades.isStreaming and len(ties) == 1 and isinstance(trades.schema[ties[0]].dataType, integral):
-        return _paned(trades, window, slide, ts, symbol, price, quantity, ties[0], sums)
+    if dense and len(ties) == 1 and isinstance(trades.schema[ties[0]].dataType, integral):
+        return _paned(trades, window, slide, *columns, ties[0], sums)
+    return _staged(trades, window, slide, *columns, ties, sums)
+
+
+def _ordered(
+    trades: DataFrame, window: str, slide: str | None, ts: str, symbol: str, price: str, quantity: str, ties: list[str], sums: dict[str, Column]
+) -> DataFrame:
+    """Candles in one aggregation, whose state is released by the window struct."""
     order = F.struct(F.col(ts), *[F.col(c) for c in ties])
-    if trades.isStreaming:  # state is released by the window struct
-        grouped = trades.groupBy(F.window(ts, window, slide).alias("_window"), F.col(symbol))
-    else:
-        grouped = _with_start(trades, ts, window, slide).groupBy("_start", symbol)
-    agg = grouped.agg(
+    agg = trades.groupBy(F.window(ts, window, slide).alias("_window"), F.col(symbol)).agg(
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
@@ -71,9 +81,56 @@ def ohlcv(
         F.count(F.lit(1)).alias("trade_count"),
         *[F.sum(c).alias(name) for name, c in sums.items()],
     )
-    if trades.isStreaming:
-        agg = agg.withColumn("_start", F.col("_window.start"))
-    return _flatten(agg, symbol, micros(window), sums)
+    return _flatten(agg.withColumn("_start", F.col("_window.start")), symbol, micros(window), sums)
+
+
+def _staged(
+    trades: DataFrame, window: str, slide: str | None, ts: str, symbol: str, price: str, quantity: str, ties: list[str], sums: dict[str, Column]
+) -> DataFrame:
+    """Candles in two looks at the trades: first the extreme times of each pane, then the ties at them.
+
+    The first look has primitive buffers only, so it is a hash aggregation with map-side combine, whatever orders the ties.
+    The second reads time, symbol, price and ties and keeps the trades at a pane's first or last time, which are few; only
+    these are ordered by the ties. The planner broadcasts the panes or filters the trades by them before the shuffle.
+    """
+    size = micros(window)
+    pane = gcd(size, micros(slide) if slide else size)
+    names = [f"_tie{i}" for i in range(len(ties))]
+    source = trades.select(
+        F.window(ts, f"{pane} microseconds").getField("start").alias("_pane"),
+        F.col(ts).alias("_ts"),
+        F.col(symbol).alias("_symbol"),
+        F.col(price).alias("_price"),
+        F.col(quantity).alias("_quantity"),
+        *[F.col(c).alias(name) for c, name in zip(ties, names)],
+        *[c.alias(name) for name, c in sums.items()],
+    )
+    figures = {
+        "_high": F.max("_price"), "_low": F.min("_price"), "_volume": F.sum("_quantity"), "_count": F.count(F.lit(1)),
+        **{name: F.sum(name) for name in sums},
+    }
+    panes = source.groupBy("_pane", "_symbol").agg(
+        F.min("_ts").alias("_first"), F.max("_ts").alias("_last"), *[c.alias(name) for name, c in figures.items()]
+    )
+    ends = join_on(source.select("_pane", "_symbol", "_ts", "_price", *names), panes, ["_pane", "_symbol"], "inner")
+    at = {"first": F.col("_ts") == F.col("_first"), "last": F.col("_ts") == F.col("_last")}
+    order = F.struct(*names)
+    # A pane's figures are the same on all its rows.
+    panes = ends.where(at["first"] | at["last"]).groupBy("_pane", "_symbol").agg(
+        F.min_by("_price", F.when(at["first"], order)).alias("_open"),
+        F.max_by("_price", F.when(at["last"], order)).alias("_close"),
+        *[F.max(name).alias(name) for name in figures],
+    )
+    agg = _with_start(panes, "_pane", window, slide).groupBy("_start", "_symbol").agg(
+        F.min_by("_open", "_pane").alias("open"),
+        F.max("_high").alias("high"),
+        F.min("_low").alias("low"),
+        F.max_by("_close", "_pane").alias("close"),
+        F.sum("_volume").alias("volume"),
+        F.sum("_count").alias("trade_count"),
+        *[F.sum(name).alias(name) for name in sums],
+    )
+    return _flatten(agg, "_symbol", size, sums)
 
 
 def _paned(

@@ -1,9 +1,10 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from candlespark.operators.bars import ohlcv, rollup, vwap
+from candlespark.operators.bars import _ordered, ohlcv, rollup, vwap
 
 
 def rows(df):
@@ -44,13 +45,26 @@ def _random_trades(spark, n=4000, seed=1):
     return spark.createDataFrame(data, schema).dropDuplicates(["symbol", "timestamp", "trade_id"]).cache()
 
 
-def test_panes_equal_one_step_aggregation(spark):
+def test_panes_and_stages_equal_one_step_aggregation(spark):
     trades = _random_trades(spark)
     for window, slide in (("1 minute", None), ("1 minute", "30 seconds"), ("90 seconds", "1 minute"), ("1 hour", None)):
-        paned = ohlcv(trades, window, slide)
-        direct = ohlcv(trades, window, slide, tie=["trade_id", "n"])
-        assert paned.exceptAll(direct).count() == 0 and direct.exceptAll(paned).count() == 0
-        assert paned.count() == direct.count() > 0
+        direct = _ordered(trades, window, slide, "timestamp", "symbol", "price", "quantity", ["trade_id", "n"], {}).cache()
+        for found in (ohlcv(trades, window, slide), ohlcv(trades, window, slide, dense=False), ohlcv(trades, window, slide, tie=["trade_id", "n"])):
+            assert found.exceptAll(direct).count() == 0 and direct.exceptAll(found).count() == 0
+            assert found.count() == direct.count() > 0
+
+
+@pytest.mark.parametrize("how", [{"dense": False}, {"tie": ["trade_id", "n"]}])
+def test_hashed_ids_and_several_ties_sort_no_trades(spark, plan, how):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(ohlcv(_random_trades(spark), "1 minute", **how))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    first_look = text[text.index("partial_min(_ts") :]
+    assert "SortAggregate" not in first_look and "HashAggregate" in first_look
+    # The one sort of order structs lies above the join that keeps the trades at extreme times.
+    assert text.index("partial_min_by") < text.index("SortMergeJoin")
 
 
 def test_pane_step_is_a_hash_aggregation(spark, plan):
