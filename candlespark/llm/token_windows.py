@@ -4,8 +4,8 @@
    gives the window's key, the other one its bucket. A task keeps the windows of ``CHUNK`` words at a time, settles repeats inside
    that chunk, and ships each distinct window once: key, place in the chunk, document. A window that a third of all
    documents hold thus reaches its bucket once per chunk, not once per document.
-2. Spark groups the windows by bucket. The number of buckets follows the input, so that one holds about ``BUCKET`` windows.
-   A bucket counts its keys; all windows of a repeated key but the earliest go back to their chunk.
+2. Spark groups the windows by bucket. The number of buckets follows the input: one holds about ``BUCKET`` windows up to
+   ``BUCKETS`` buckets, and up to ``FULL`` windows beyond, so that a chunk's share of a bucket stays worth a row. A bucket counts its keys; all windows of a repeated key but the earliest go back to their chunk.
 3. A chunk merges the windows it gets back into maximal intervals per document, which are joined to the texts.
 
 Keys are compared inside a bucket, so two different windows are taken for equal with chance 2^-64 per pair in a bucket: about
@@ -24,8 +24,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a chunk, and windows a bucket is meant to hold.
-CHUNK, BUCKET = 1 << 20, 1 << 21
+#: Words of a chunk; windows of a bucket of small inputs, number of such buckets, windows of a bucket of large inputs.
+CHUNK, BUCKET, BUCKETS, FULL = 1 << 19, 1 << 18, 1 << 12, 1 << 25
 
 PIECES = "bucket bigint, chunk bigint, keys binary, places binary, run_docs binary, run_origins binary, run_lengths binary, docs binary, repeats binary, twins binary"
 REPEATS = "chunk bigint, docs binary, repeats binary, twins binary"
@@ -294,6 +294,7 @@ def remove_repeats(docs: DataFrame, size: int = 20) -> DataFrame:
         F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit("b"), text).alias("text_b"), F.encode(text, "UTF-8").alias("body"),
     )
     size_of_all = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    buckets = 1 + size_of_all // (5 * BUCKET)
+    windows = size_of_all // 5
+    buckets = 1 + max(min(windows // BUCKET, BUCKETS), windows // FULL)
     joined = texts.join(repeated_spans(texts, size, buckets), ["doc_id", "text_a", "text_b"], "left")
     return without(joined.select("doc_id", "no_id", "body", "found"))
