@@ -15,19 +15,26 @@ from candlespark.sinks import candle_log
 from candlespark.sources.messages import read_message_files, trades_to_json
 from candlespark.streaming import trades as jobs
 
-def message_stream(spark: SparkSession, folder: str, batches: int = 4) -> DataFrame:
+BATCHES = 4
+
+
+def message_stream(spark: SparkSession, folder: str, batches: int = BATCHES) -> DataFrame:
     """All trades as JSON message files, read as a stream in ``batches`` micro-batches.
 
-    Which trades share a batch follows from a hash of the message, and the files of one batch are written after those
-    of the batch before, so the batches do not depend on the machine. Files hold trades of all times, so that later
+    A trade's batch is its id modulo ``batches``, so the batches depend on the data alone. All files are written in one
+    pass, two to a batch; their times say in which order they are read. Files hold trades of all times, so that later
     batches correct candles of earlier ones.
     """
     path, width = shared_dir(spark, "messages"), 2
-    messages = trades_to_json(b.trades(spark, folder)).select("value")
+    trades = b.trades(spark, folder).repartition(width, "trade_id")
+    messages = trades_to_json(trades, F.pmod("trade_id", F.lit(batches)).alias("batch")).select("value", "batch")
+    messages.write.partitionBy("batch").text(path)
+    files = spark._jvm.org.apache.hadoop.fs
+    system = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for batch in range(batches):
-        part = messages.where(F.pmod(F.xxhash64("value"), F.lit(batches)) == batch)
-        part.repartition(width).write.mode("append").text(path)
-    return parse_trades(read_message_files(spark, path, files_per_trigger=width))
+        for found in system.globStatus(files.Path(f"{path}/batch={batch}/*")):
+            system.setTimes(found.getPath(), 1_000_000_000_000 + 1_000 * batch, -1)
+    return parse_trades(read_message_files(spark, f"{path}/*", files_per_trigger=width))
 
 
 def finish(*queries) -> None:
@@ -84,9 +91,24 @@ def stream_alerts(spark, folder):
     return b.naive(jobs.latest_alerts(spark, paths.data("alerts")), "start_time")
 
 
-@query("candle_changes")
+_BATCHED = f"{_MS}, batches AS (SELECT unnest(range({BATCHES})) AS batch_id)"
+
+
+@query(
+    "candle_changes",
+    f"""WITH {_BATCHED},
+hours AS (SELECT *, time_bucket(INTERVAL '1 hour', "timestamp") AS start_time FROM trades),
+logged AS (
+  SELECT symbol, start_time, start_time + INTERVAL '1 hour' AS end_time, arg_min(price, ("timestamp", trade_id)) AS open,
+         max(price) AS high, min(price) AS low, arg_max(price, ("timestamp", trade_id)) AS close, sum(quantity) AS volume,
+         count(*) AS trade_count, batch_id
+  FROM hours JOIN batches ON trade_id % {BATCHES} <= batch_id GROUP BY symbol, start_time, batch_id
+  HAVING max(trade_id % {BATCHES}) = batch_id)
+SELECT *, CASE WHEN batch_id = min(batch_id) OVER (PARTITION BY symbol, start_time) THEN 'insert' ELSE 'replace' END AS change
+FROM logged""",
+)
 def candle_changes(spark, folder):
-    """Change feed of the tumbling candles; which batch a change falls into depends on the files."""
+    """Change feed of the tumbling candles: every candle once per batch that changed it."""
     path, _ = _candle_table(spark, folder, "1 hour")
     return b.naive(candle_log.candle_changes(spark, path), "start_time", "end_time")
 
@@ -136,9 +158,22 @@ def stream_trades(spark, folder):
     return parsed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("trades"))
 
 
-@query("stream_late_data")
+_CLOSED = f"""WITH {_MS},
+hours AS (
+  SELECT *, trade_id % {BATCHES} AS batch, time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS end_time FROM trades),
+marks AS (
+  SELECT batch, max(max("timestamp")) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL '5 seconds' AS late,
+         max(max("timestamp")) OVER () - INTERVAL '5 seconds' AS last
+  FROM hours GROUP BY batch),
+trades_in_time AS (SELECT h.* FROM hours h JOIN marks USING (batch) WHERE (late IS NULL OR end_time > late) AND end_time <= last)"""
+
+
+@query("stream_late_data", f"{_CLOSED}, {candles(source='trades_in_time')} SELECT {CANDLE_COLUMNS} FROM candles")
 def stream_late_data(spark, folder):
-    """Watermarked append mode: closed windows only; the newest one stays open and late trades are dropped."""
+    """Watermarked append mode: closed windows only; the newest one stays open and late trades are dropped.
+
+    A batch is judged by the watermark that held before the batch in front of it.
+    """
     paths = jobs.StreamPaths(shared_dir(spark, "stream"))
     bars = ohlcv(message_stream(spark, folder).withWatermark("timestamp", "5 seconds"), "1 hour")
     finish(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_OFFSETS_PER_TRIGGER = 50_000  # fixed value: default admission limit of the broker source
@@ -47,8 +47,8 @@ def read_message_files(spark: SparkSession, path: str, files_per_trigger: int |
     return reader.format("text").load(path)
 
 
-def trades_to_json(trades: DataFrame) -> DataFrame:
-    """Trades as broker rows: ``key`` is the symbol, ``value`` the JSON message."""
+def trades_to_json(trades: DataFrame, *extra: Column) -> DataFrame:
+    """Trades as broker rows: ``key`` is the symbol, ``value`` the JSON message; ``extra`` columns of the trades after them."""
     text = lambda c: F.col(c).cast("string")
     millis = F.unix_millis(F.col("timestamp").cast("timestamp"))
     data = F.struct(
@@ -66,4 +66,5 @@ def trades_to_json(trades: DataFrame) -> DataFrame:
     return trades.select(
         F.col("symbol").alias("key"),
         F.to_json(F.struct(stream.alias("stream"), data.alias("data"))).alias("value"),
+        *extra,
     )

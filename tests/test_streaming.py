@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,8 @@ def test_late_trades(spark, source, watermark, late_counts):
     for i, second in enumerate((10, 300, 301, 20)):
         add([("A", i, at(second), 1.0 + i, 1.0, False)])
     paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    listener = jobs.DroppedRows()
+    spark.streams.addListener(listener)
     query = jobs.start_candles(stream(spark, folder), paths.data("c"), paths.checkpoint("c"), watermark=watermark, available_now=True)
     run(query)
     first = latest_candles_view(spark, paths.data("c")).orderBy("start_time").first()
@@ -111,6 +114,12 @@ def test_late_trades(spark, source, watermark, late_counts):
     assert first.close == (4.0 if late_counts else 1.0)
     dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
     assert dropped == (0 if late_counts else 1)
+    for _ in range(100):  # progress reaches listeners a little later
+        if listener.by_query.get(str(query.id)) == dropped:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert listener.by_query[str(query.id)] == dropped
 
 
 def test_a_failing_sink_fails_the_query_and_the_retry_repeats_the_batch(spark, source):
