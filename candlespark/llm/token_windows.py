@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words of a chunk; windows of a bucket of small inputs, number of such buckets, windows of a bucket of large inputs.
-CHUNK, BUCKET, BUCKETS, FULL = 1 << 19, 1 << 18, 1 << 12, 1 << 25
+CHUNK, BUCKET, BUCKETS, FULL = 1 << 20, 1 << 20, 1 << 12, 1 << 25
 
-PIECES = "bucket bigint, chunk bigint, keys binary, places binary, run_docs binary, run_origins binary, run_lengths binary, docs binary, repeats binary, twins binary"
+PIECES = "bucket bigint, chunk bigint, keys binary, places binary, run_docs binary, run_origins binary, run_marks binary, docs binary, repeats binary, twins binary"
 REPEATS = "chunk bigint, docs binary, repeats binary, twins binary"
 SPANS = "doc_id bigint, text_a bigint, text_b bigint, base bigint, spans binary"
 REMOVED = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>"
@@ -149,11 +149,11 @@ def chunk_rows(chunk: int, pieces: list, size: int, buckets: int, key_of, bucket
 
     for part in np.split(sent, cuts) if len(sent) else []:
         owners = owner[part]
-        begins = np.flatnonzero(np.diff(owners, prepend=-1))
-        runs = owners[begins]
+        marks = np.diff(owners, prepend=-1) != 0
+        runs = owners[marks]
         add(
             bucket=int(bucket[part[0]]), chunk=chunk, keys=keys[part].tobytes(), places=planes(place[part]), run_docs=planes(doc_ids[runs]),
-            run_origins=planes(origins[runs]), run_lengths=planes(np.diff(np.r_[begins, len(part)])),
+            run_origins=planes(origins[runs]), run_marks=np.packbits(marks).tobytes(),
         )
     add(
         bucket=-1 - chunk, chunk=chunk, docs=planes(np.concatenate([*meta, lengths])), repeats=planes(np.sort(place[met[order[behind]]])),
@@ -201,9 +201,10 @@ def bucket_repeats(frame):
     met = repeated(keys)
     row = np.repeat(np.arange(len(sizes), dtype="int32"), sizes)[met]
     place = np.concatenate([values(p) for p in frame["places"]])[met]
-    runs = np.concatenate([values(r) for r in frame["run_lengths"]])
-    docs = np.repeat(np.concatenate([values(r) for r in frame["run_docs"]]), runs)[met]
-    starts = place - np.repeat(np.concatenate([values(r) for r in frame["run_origins"]]), runs)[met]
+    marks = np.concatenate([np.unpackbits(np.frombuffer(m, "uint8"), count=n) for m, n in zip(frame["run_marks"], sizes)])
+    run = (np.cumsum(marks, dtype="int64") - 1)[met]
+    docs = np.concatenate([values(r) for r in frame["run_docs"]])[run]
+    starts = place - np.concatenate([values(r) for r in frame["run_origins"]])[run]
     order, _, behind = later((keys[met],), docs, starts)
     found = np.sort(order[behind])  # by row, and by place inside a row, as a stable sort left equal keys in any order
     found = found[np.lexsort((place[found], row[found]))]
