@@ -97,6 +97,54 @@ def load_klines(spark, folder):
     return b.naive(b.rounded(lake.table_since(spark, _loaded(spark, folder), FIRST_DAY, schemas.WAREHOUSE_KLINE), *_SUMS), "open_datetime")
 
 
+class _FailsOnce(plans.HighWaterMark):
+    """A mark whose second record is lost once, as if the job had ended between the write and the record."""
+
+    lost: list = []
+
+    def write(self, next_day, first_day=None, rows=None):
+        if first_day is not None and self.records().count() == 2 and self.path not in self.lost:
+            self.lost.append(self.path)
+            raise OSError("the job ended before its commit")
+        super().write(next_day, first_day, rows)
+
+
+@query("incremental_load", f"WITH {KLINES} SELECT {_WAREHOUSE} FROM klines")
+def incremental_load(spark, folder):
+    """All days of the lake in ranges of ten days: one range fails before its commit, a second run goes on, a named day is loaded again."""
+    root, table = _all_days(spark, folder), shared_dir(spark, "warehouse")
+    mark = _FailsOnce.beside(spark, table)
+    days = b.hourly_klines(spark, folder).agg(F.min("partition_date").alias("a"), F.max("partition_date").alias("z")).first()
+    mark.write(days["a"])
+    today = days["z"] + dt.timedelta(days=1)
+    try:
+        plans.run_incremental(spark, root, table, mark, today, days_per_write=10)
+    except OSError:
+        plans.run_incremental(spark, root, table, mark, today, days_per_write=10)
+    plans.run_incremental(spark, root, table, mark, today, only_day=days["z"])
+    return b.naive(b.rounded(lake.table_since(spark, table, days["a"], schemas.WAREHOUSE_KLINE), *_SUMS), "open_datetime")
+
+
+@query(
+    "load_commits",
+    f"""WITH {KLINES}, span AS (SELECT min(partition_date) AS a, max(partition_date) AS z FROM klines),
+ranges AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL '10 days')) AS DATE) AS first_day, z FROM span)
+SELECT first_day, CAST(least(first_day + 10, z + 1) AS DATE) AS next_day, count(symbol) AS rows, CAST(0 AS BIGINT) AS lost
+FROM ranges LEFT JOIN klines ON partition_date >= first_day AND partition_date < first_day + 10 GROUP BY ALL""",
+)
+def load_commits(spark, folder):
+    """The commit records of an incremental load, with the rows that the table lacks of them."""
+    root, table = _all_days(spark, folder), shared_dir(spark, "warehouse")
+    mark = plans.HighWaterMark.beside(spark, table)
+    days = b.hourly_klines(spark, folder).agg(F.min("partition_date").alias("a"), F.max("partition_date").alias("z")).first()
+    mark.write(days["a"])
+    plans.run_incremental(spark, root, table, mark, days["z"] + dt.timedelta(days=1), days_per_write=10)
+    records = mark.records().where("first_day IS NOT NULL")
+    lost = plans.unmatched_commits(records, lake.table_since(spark, table, days["a"], schemas.WAREHOUSE_KLINE))
+    lost = lost.select("first_day", (F.col("rows") - F.col("held")).alias("lost"))
+    return records.join(lost, "first_day", "left").select("first_day", "next_day", "rows", F.coalesce("lost", F.lit(0)).alias("lost"))
+
+
 @query(
     "klines_since",
     f"""WITH {KLINES} SELECT symbol, open_datetime, partition_date, close FROM klines

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlespark.session import materialize
+
 
 def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
     """Join on equal columns where null equals null; keeps the left columns once."""
@@ -22,17 +24,23 @@ def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> Da
 
 
 def exact_percentiles(
-    df: DataFrame, key: list[str], value: str, probs: dict[str, float], accuracy: int = 10_000
+    df: DataFrame, key: list[str], value: str, probs: dict[str, float], accuracy: int = 10_000, also: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Linearly interpolated percentiles: one row per key, one column per entry of ``probs``."""
+    """Linearly interpolated percentiles: one row per key, one column per entry of ``probs``.
+
+    ``also`` are further aggregates of ``df``, computed in the scan that makes the sketch; with them keys that have only null
+    values are kept. ``df`` is read twice: for the sketch, and to place its values, which are written out by stretch.
+    """
     margin = 3 / accuracy
     grid = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)})
+    extra = [c.alias(name) for name, c in (also or {}).items()]
+    cuts = materialize(df.groupBy(*key).agg(F.percentile_approx(value, grid, accuracy).alias("_cuts"), *extra), "percentile-cuts")
     rows = df.where(F.col(value).isNotNull()).select(*key, F.col(value).alias("_v"))
-    cuts = rows.groupBy(*key).agg(F.percentile_approx("_v", grid, accuracy).alias("_cuts"))
 
     # The stretch number is the count of cuts below the value, so it grows with the value.
     stretch = sum((F.when(F.col("_v") > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
-    placed = join_on(rows, cuts, key, "left").withColumn("_stretch", stretch).drop("_cuts")
+    placed = join_on(rows, cuts.select(*key, "_cuts"), key, "left").withColumn("_stretch", stretch).drop("_cuts")
+    placed = materialize(placed, "percentile-values")
 
     # At most len(grid) + 1 rows per key from here to the choice of stretches.
     before = Window.partitionBy(*key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,4 +81,5 @@ def exact_percentiles(
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         return (lo + (hi - lo) * (position(p) - F.floor(position(p)))).alias(name)
 
-    return picked.select(*key, *[between(name, p) for name, p in probs.items()])
+    found = picked.select(*key, *[between(name, p) for name, p in probs.items()])
+    return found if also is None else join_on(cuts.drop("_cuts"), found, key, "left")

@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlespark import schemas
@@ -62,10 +62,15 @@ def warehouse_rows(lake: DataFrame, unit: str = "ns") -> DataFrame:
 
 def load_range(
     spark: SparkSession, lake_root: str, table: str, start: dt.date, end: dt.date, symbols=None
-) -> None:
-    """Load the days ``start..end`` with one pruned scan and one write: all symbols of the lake, or only ``symbols``."""
+) -> int:
+    """Load the days ``start..end`` with one pruned scan and one write: all symbols of the lake, or only ``symbols``.
+
+    Returns the number of rows written, counted by the write itself.
+    """
     lake = scan_klines(spark, lake_root, start, end, list(symbols) if symbols is not None else None)
-    write_dynamic(warehouse_rows(lake), table, TABLE_KEYS)
+    written = Observation()
+    write_dynamic(warehouse_rows(lake).observe(written, F.count(F.lit(1)).alias("rows")), table, TABLE_KEYS)
+    return written.get["rows"]
 
 
 def load_report(lake: DataFrame, unit: str = "ns") -> DataFrame:
@@ -105,32 +110,53 @@ def build_features(
 
 @dataclass(frozen=True)
 class HighWaterMark:
-    """Next day to load, kept as a small append-only dataset; the newest entry counts."""
+    """Next day to load, kept as a small append-only dataset of commit records; the newest one counts.
+
+    A record says which days a range wrote, how many rows, and where the next one starts. By default (``beside``) the records
+    lie in the table's own folder, hidden from its readers, so that table and mark are copied, restored and removed together.
+    """
 
     spark: SparkSession
     path: str
 
-    def _entries(self) -> DataFrame:
-        return self.spark.read.schema(schemas.HIGH_WATER_MARK).parquet(self.path)
+    @classmethod
+    def beside(cls, spark: SparkSession, table: str) -> HighWaterMark:
+        return cls(spark, f"{table.rstrip('/')}/_commits")
 
-    def _last(self) -> tuple[int, dt.date | None]:
+    def records(self) -> DataFrame:
+        """All commit records; none before the first."""
         try:
-            row = self._entries().agg(F.max("seq").alias("seq"), F.max_by("next_day", "seq").alias("day")).first()
+            return self.spark.read.schema(schemas.HIGH_WATER_MARK).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0, None  # no mark written yet
-        return (row["seq"] or 0, row["day"]) if row else (0, None)
+            return self.spark.createDataFrame([], schemas.HIGH_WATER_MARK)
+
+    def _last(self) -> tuple[int, dt.date | None]:
+        row = self.records().agg(F.max("seq").alias("seq"), F.max_by("next_day", "seq").alias("day")).first()
+        return row["seq"] or 0, row["day"]
 
     def read(self, today: dt.date, default_lag: int = DEFAULT_LAG_DAYS) -> dt.date:
         return self._last()[1] or today - dt.timedelta(days=default_lag)
 
-    def write(self, next_day: dt.date) -> None:
+    def write(self, next_day: dt.date, first_day: dt.date | None = None, rows: int | None = None) -> None:
         seq = self._last()[0] + 1
-        entry = self.spark.createDataFrame([(seq, next_day)], schemas.HIGH_WATER_MARK)
+        entry = self.spark.createDataFrame([(seq, first_day, next_day, rows)], schemas.HIGH_WATER_MARK)
         entry.coalesce(1).write.mode("append").parquet(self.path)
 
 
+def unmatched_commits(records: DataFrame, table: DataFrame) -> DataFrame:
+    """Commit records whose days hold fewer rows in the table than were written: days lost or replaced since.
+
+    The newest record of a range counts. One row per day of the table meets the records, no kline.
+    """
+    newest = records.where("first_day IS NOT NULL").groupBy("first_day", "next_day").agg(F.max_by("rows", "seq").alias("rows"))
+    days = newest.withColumn("day", F.explode(F.sequence("first_day", F.date_sub("next_day", 1))))
+    held = table.groupBy(F.col("partition_date").alias("day")).agg(F.count(F.lit(1)).alias("held"))
+    found = days.join(held, "day", "left").groupBy("first_day", "next_day", "rows").agg(F.coalesce(F.sum("held"), F.lit(0)).alias("held"))
+    return found.where("held < rows")
+
+
 def pending_days(spark: SparkSession, start: dt.date, today: dt.date) -> DataFrame:
     """Days still to load: ``start`` to yesterday; empty when there are none."""
     count = max(0, (today - start).days)
@@ -149,9 +175,9 @@ def run_incremental(
 ) -> dt.date | None:
     """Load the pending days; returns the last loaded day.
 
-    Days are loaded in ranges: one pruned scan and one write per range, after which the mark moves to the
-    day behind it. A failure is raised and leaves the mark in front of the failed range; a retry
-    replaces the same partitions. ``only_day`` loads that day and does not move the mark.
+    Days are loaded in ranges: one pruned scan and one write per range, after which a commit record moves the mark to the
+    day behind it. A failure, also one between the write and the record, is raised and leaves the mark in front of the
+    failed range; a retry replaces the same partitions. ``only_day`` loads that day and does not move the mark.
     Without ``symbols`` every symbol of the days is loaded; with them the mark moves past the other symbols' rows.
     """
     if only_day is not None:
@@ -161,7 +187,7 @@ def run_incremental(
     done = None
     while start <= last:
         end = min(last, start + dt.timedelta(days=days_per_write - 1))
-        load_range(spark, lake_root, table, start, end, symbols)
+        rows = load_range(spark, lake_root, table, start, end, symbols)
+        mark.write(end + dt.timedelta(days=1), start, rows)
         done, start = end, end + dt.timedelta(days=1)
-        mark.write(start)
     return done

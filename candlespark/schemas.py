@@ -119,6 +119,8 @@ SENTIMENT = T.StructType(
 HIGH_WATER_MARK = T.StructType(
     [
         T.StructField("seq", T.LongType()),
+        T.StructField("first_day", T.DateType()),
         T.StructField("next_day", T.DateType()),
+        T.StructField("rows", T.LongType()),
     ]
 )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,47 @@ def _day_filter(start: dt.date, end: dt.date) -> Column:
     return after(start) & before(end)
 
 
+def _range_patterns(start: dt.date, end: dt.date) -> list[str]:
+    """Globs below a symbol's folder for the days ``start..end``: whole years, whole months, then days.
+
+    Months and days are matched with and without a leading zero.
+    """
+    either = lambda numbers: ",".join(f"{n},{n:02d}" if n < 10 else str(n) for n in numbers)
+    years, patterns = [], []
+    for year in range(start.year, end.year + 1):
+        first, last = max(start, dt.date(year, 1, 1)), min(end, dt.date(year, 12, 31))
+        if (first.month, first.day, last.month, last.day) == (1, 1, 12, 31):
+            years.append(str(year))
+            continue
+        whole = []
+        for month in range(first.month, last.month + 1):
+            length = calendar.monthrange(year, month)[1]
+            low = first.day if month == first.month else 1
+            high = last.day if month == last.month else length
+            if (low, high) == (1, length):
+                whole.append(month)
+            else:
+                patterns.append(f"year={year}/month={{{either([month])}}}/day={{{either(range(low, high + 1))}}}")
+        if whole:
+            patterns.append(f"year={year}/month={{{either(whole)}}}")
+    return [f"year={{{','.join(years)}}}"] * bool(years) + patterns
+
+
+def lake_folders(
+    spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None, symbols: list[str] | None = None
+) -> list[str]:
+    """The folders of the lake that hold the wanted symbols and days; only folders on the way to them are listed."""
+    # Other characters than these are escaped in folder names: list the symbols then, and leave the choice to the filter.
+    plain = symbols is not None and all(re.fullmatch(r"[\w.-]+", s) for s in symbols)
+    symbol = f"symbol={{{','.join(symbols)}}}" if plain else "symbol=*"
+    files = spark._jvm.org.apache.hadoop.fs
+    system = files.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for pattern in _range_patterns(start or dt.date.min, end or dt.date.max) if symbols != [] else []:
+        found += [f.getPath().toString() for f in (system.globStatus(files.Path(f"{root}/{symbol}/{pattern}")) or [])]
+    return found
+
+
 def scan_klines(
     spark: SparkSession,
     root: str,
@@ -35,11 +78,18 @@ def scan_klines(
     end: dt.date | None = None,
     symbols: list[str] | None = None,
 ) -> DataFrame:
-    """One scan over ``symbol=/year=/month=/day=`` folders, pruned to the wanted symbols and days.
+    """One scan over ``symbol=/year=/month=/day=`` folders, of the wanted symbols and days only.
 
-    ``open_time`` is read as a plain long, so that files with nanosecond timestamps load as well.
+    The folders are named to Spark, so that it lists their files and not those of the whole lake; without such folders the
+    result is empty. ``open_time`` is read as a plain long, so that files with nanosecond timestamps load as well.
     """
-    klines = spark.read.schema(schemas.LAKE_KLINE).parquet(root)
+    reader = spark.read.schema(schemas.LAKE_KLINE)
+    if start is None and end is None and symbols is None:
+        return reader.parquet(root)
+    folders = lake_folders(spark, root, start, end, symbols)
+    if not folders:
+        return spark.createDataFrame([], schemas.LAKE_KLINE)
+    klines = reader.option("basePath", root).parquet(*folders)
     if start is not None or end is not None:
         klines = klines.where(_day_filter(start or dt.date.min, end or dt.date.max))
     if symbols is not None:
@@ -47,6 +97,13 @@ def scan_klines(
     return klines
 
 
+def symbols_in_lake(spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Symbols with a folder for any of the days, from folder names alone: no file is listed or opened."""
+    names = {f.split("/symbol=")[1].split("/")[0] for f in lake_folders(spark, root, start, end)}
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return spark.createDataFrame([(unescape(n),) for n in sorted(names)], "symbol string")
+
+
 def missing_symbols(present: DataFrame, universe: DataFrame) -> DataFrame:
     """Symbols of the universe without any row: the ones a load skips."""
     return universe.join(present.select("symbol").distinct(), "symbol", "left_anti")

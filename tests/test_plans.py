@@ -63,3 +63,22 @@ def test_no_operator_uses_a_cross_join(spark, plan, candles):
     for df in (stats.daily_stats(trades), stats.return_correlation(returns), stats.market_heatmap(candles)):
         text = plan(df)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_statistics_read_their_input_twice(spark, plan, monkeypatch):
+    """Moments and sketch in one scan, placed values in another; all else reads what was written."""
+    from candlespark.operators import quantiles
+
+    written, real = [], quantiles.materialize
+    for module in (quantiles, stats):
+        monkeypatch.setattr(module, "materialize", lambda df, name: (written.append((name, plan(df))), real(df, name))[1])
+    scans = lambda text, folder: len(re.findall(rf"FileScan parquet [^\n]*{folder}", text))
+    trades = b.trades(spark, FOLDER)
+    final = plan(stats.daily_stats(trades))
+    assert [name for name, _ in written] == ["percentile-cuts", "percentile-values"]
+    assert sum(scans(text, "events.parquet") for _, text in written) == 2 and scans(final, "events.parquet") == 0
+    written.clear()
+    candles = b.stored_candles(spark, FOLDER)
+    source = candles.inputFiles()[0].split("/")[-2]
+    final = plan(stats.risk_metrics(candles))
+    assert sum(scans(text, source) for _, text in written) == 2 and scans(final, source) == 0

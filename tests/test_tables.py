@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,32 @@ def test_day_ranges_cross_months_and_years(spark):
         assert got == {d for d in days if start <= d <= end}
 
 
+def test_only_wanted_folders_are_listed(spark, plan):
+    root = shared_dir(spark, "lake")
+    days = [dt.date(2023, 11, 29) + dt.timedelta(days=i) for i in range(70)]
+    rows = [(1, *[1.0] * 6, 1, 1.0, 1.0, symbol, d.year, d.month, d.day) for d in days for symbol in ("A", "B/c", None)]
+    tables.write_dynamic(spark.createDataFrame(rows, schemas.LAKE_KLINE), root, plans.LAKE_KEYS)
+    listed = lambda df: int(re.search(r"InMemoryFileIndex\((\d+) paths?\)", plan(df)).group(1))
+    one = lake.scan_klines(spark, root, days[1], days[1], ["A"])
+    assert listed(one) == 1 and one.count() == 1
+    # One day of November, December as a month, and the days of January, per symbol.
+    some = lake.scan_klines(spark, root, days[1], dt.date(2024, 1, 4))
+    assert listed(some) == 3 * (1 + 1 + 4) and some.count() == 3 * 36
+    assert listed(lake.scan_klines(spark, root, dt.date(2023, 1, 1), dt.date(2024, 12, 31))) == 3 * 2
+    assert lake.scan_klines(spark, root, days[0], days[-1], ["B/c"]).count() == 70
+    assert lake.scan_klines(spark, root, dt.date(2030, 1, 1), None).count() == 0 == lake.scan_klines(spark, root, symbols=[]).count()
+    got = {r.symbol for r in lake.symbols_in_lake(spark, root, days[0], days[0]).collect()}
+    assert got == {"A", "B/c", "__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_months_with_a_leading_zero(spark, tmp_path):
+    for name in ("month=02/day=03", "month=2/day=4", "month=12/day=05"):
+        spark.range(1).select(F.lit(1.0).alias("close")).write.parquet(str(tmp_path / "symbol=A" / "year=2024" / name))
+    got = lake.scan_klines(spark, str(tmp_path), dt.date(2024, 2, 2), dt.date(2024, 2, 5), ["A"])
+    assert sorted((r.month, r.day) for r in got.collect()) == [(2, 3), (2, 4)]
+    assert lake.scan_klines(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 12, 5)).count() == 3
+
+
 def test_nanosecond_files_are_read_as_long(spark, tmp_path):
     import pandas as pd
 
@@ -163,6 +190,22 @@ def test_mark_moves_only_over_loaded_days(spark, lake_root, monkeypatch):
     assert plans.run_incremental(spark, lake_root, table, mark, today) is None
 
 
+def test_commit_records_go_with_the_table(spark, lake_root):
+    table = shared_dir(spark, "warehouse")
+    mark = plans.HighWaterMark.beside(spark, table)
+    today = DAY + dt.timedelta(days=3)
+    mark.write(DAY)
+    plans.run_incremental(spark, lake_root, table, mark, today, days_per_write=2)
+    got = [tuple(r) for r in mark.records().orderBy("seq").collect()]
+    second = DAY + dt.timedelta(days=2)
+    assert got == [(1, None, DAY, None), (2, DAY, second, 24), (3, second, today, 12)]
+    rows = lake.table_since(spark, table, DAY, schemas.WAREHOUSE_KLINE)
+    assert rows.count() == 36  # the records are no rows of the table
+    assert plans.unmatched_commits(mark.records(), rows).isEmpty()
+    (lost,) = plans.unmatched_commits(mark.records(), rows.where(F.col("partition_date") != second)).collect()
+    assert (lost.first_day, lost.rows, lost.held) == (second, 12, 0)
+
+
 def test_symbols_outside_the_fixed_list_are_loaded(spark):
     root, table, mark = shared_dir(spark, "lake"), shared_dir(spark, "warehouse"), plans.HighWaterMark(spark, shared_dir(spark, "mark"))
     open_time = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 10**9
