@@ -77,9 +77,10 @@ class Rolling:
     def __call__(self, codes):
         np, n = self.np, len(codes)
         if n > len(self.up):
-            self.up, self.down = self._powers(self.base, 2 * n), self._powers(self.inverse, 2 * n)
+            self.up, self.down = self._powers(self.base, n + (n >> 3)), self._powers(self.inverse, n + (n >> 3))
         sums = np.zeros(n + 1, "uint64")
-        np.cumsum(codes * self.up[:n], dtype="uint64", out=sums[1:])
+        np.multiply(codes, self.up[:n], out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
         count = max(0, n - self.size + 1)
         return (sums[self.size : self.size + count] - sums[:count]) * self.down[:count]
 
@@ -133,14 +134,15 @@ def chunk_rows(chunk: int, pieces: list, size: int, buckets: int, key_of, bucket
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + offsets[owner]
     keys = key_of(codes)[place]
     bucket = ((mixed(bucket_of(mixed(codes))[place]) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    bucket = bucket.astype("uint16" if buckets <= 1 << 16 else "uint32")
     met = repeated(keys)
     order, first, behind = later((keys[met], bucket[met]), doc_ids[owner[met]], (place - origins[owner])[met])
     equal = ~behind & (order != first)
     sent = np.ones(len(place), bool)
     sent[met[order[behind | equal]]] = False
     sent = np.flatnonzero(sent)
-    sent = sent[np.argsort(bucket[sent].astype("uint16" if buckets <= 1 << 16 else "uint64"), kind="stable")]
-    cuts = np.flatnonzero(np.diff(bucket[sent])) + 1
+    sent = sent[np.argsort(bucket[sent], kind="stable")]
+    cuts = np.flatnonzero(bucket[sent][1:] != bucket[sent][:-1]) + 1
     rows = {name.split()[0]: [] for name in PIECES.split(", ")}
 
     def add(**cells) -> None:
