@@ -25,6 +25,8 @@ SYMBOLS = "#*$%&|<>"
 BUCKETS = 16384
 THRESHOLD = -0.25
 WINDOW = 5
+#: The ids' bitmap has 2 ** FILTER_BITS bits.
+FILTER_BITS = 20
 
 
 def grams(text: Column, buckets: int = BUCKETS) -> tuple[Column, Column]:
@@ -45,13 +47,33 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
+def id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """A test on ``doc_id`` that all of ``ids`` pass, and others by chance: a bitmap of fixed size, whatever the number of ids."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    words = ids.groupBy(F.shiftright(place(F.col("doc_id")), 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {1 << bits}L) & 63 AS int))")).alias("set")
+    )
+    known = [0] * (1 << (bits - 6))
+    for row in words.collect():
+        known[row.word] = row.set
+    bitmap = F.split(F.lit(",".join(map(str, known))), ",").cast("array<bigint>")
+    word = F.get(bitmap, F.shiftright(place(F.col("doc_id")), 6).cast("int"))
+    return F.getbit(word, place(F.col("doc_id")).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def fit_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """Log ratio of each bucket, counted over all documents and all trusted ones; only ``buckets`` rows reach the driver."""
-    # Written out, so that the planner knows their size: few ids are broadcast, many are joined by shuffle.
-    ids = materialize(trusted_ids(labels), "trusted-ids").withColumn("trusted", F.lit(1))
-    flagged = docs.select("doc_id", "text").join(ids, "doc_id", "left")
+    """Log ratio of each bucket, counted over all documents and all trusted ones; only ``buckets`` rows reach the driver.
+
+    Texts that cannot be trusted by ``id_filter`` are counted where they are read. The others meet the ids in a shuffle, by one
+    plan at every size.
+    """
+    ids = materialize(trusted_ids(labels), "trusted-ids")
+    maybe = F.col("doc_id").isNotNull() & id_filter(ids)
+    texts = docs.select("doc_id", "text")
+    met = texts.where(maybe).join(ids.withColumn("trusted", F.lit(1)).hint("merge"), "doc_id", "left")
+    flagged = met.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "text").unionByName(texts.where(~maybe).select(F.lit(0).alias("trusted"), "text"))
     counted = (
-        with_grams(flagged.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), "text"), F.col("text"), "grams", buckets)
+        with_grams(flagged, F.col("text"), "grams", buckets)
         .select("trusted", F.explode("grams").alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
