@@ -95,7 +95,7 @@ FROM s QUALIFY rank <= 5"""
 
 @query
 def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, folder, "documents"), 400).drop("spans")
+    return repeats.remove_repeats(table(spark, folder, "documents"), 400)
 
 
 @query
