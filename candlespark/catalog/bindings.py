@@ -115,6 +115,15 @@ def kline_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return k.select("symbol", F.to_json(F.array(kline)).alias("payload"))
 
 
+def daily_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The klines of a symbol's day as one payload: at most 24 hourly bars."""
+    bars = kline_payloads(spark, folder).withColumn("at", F.get_json_object("payload", "$[0][0]").cast("long"))
+    days = bars.groupBy("symbol", F.to_date(F.timestamp_millis("at")).alias("day")).agg(F.sort_array(F.collect_list(F.struct("at", "payload"))).alias("bars"))
+    # Each payload is a list of one bar: take off its brackets and join.
+    inner = F.transform("bars", lambda bar: F.substring(bar["payload"], F.lit(2), F.length(bar["payload"]) - 2))
+    return days.select("symbol", F.concat(F.lit("["), F.array_join(inner, ","), F.lit("]")).alias("payload"))
+
+
 def event_metadata(spark: SparkSession) -> DataFrame:
     return coin_metadata(spark, EVENT_METADATA)
 

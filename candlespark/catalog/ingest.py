@@ -8,6 +8,8 @@ from candlespark.catalog import bindings as b
 from candlespark.catalog.registry import KLINES, TRADES, query, r6
 from candlespark.functions.time import is_valid_epoch, unix_micros
 from candlespark.operators import ingest, stats
+from candlespark.session import shared_dir
+from candlespark.sinks.tables import write_split
 from candlespark.sources.messages import trades_to_json
 
 _FLAT = f"""WITH {TRADES}
@@ -51,15 +53,15 @@ def trades_to_json_back(spark, folder):
 SELECT trade_id, status FROM trades, (VALUES ('good'), ('bad')) AS v(status)""",
 )
 def quarantine_json(spark, folder):
-    """Every message twice: as it is, and cut off before its last brace."""
+    """Every message twice, as it is and cut off before its last brace; split by one write, each part read from its folder."""
     messages = trades_to_json(b.trades(spark, folder)).select(
         F.get_json_object("value", "$.data.t").cast("long").alias("trade_id"),
         F.explode(F.array("value", F.expr("substring(value, 1, length(value) - 1)"))).alias("value"),
     )
-    good, bad = ingest.quarantine(messages)
-    return good.select("trade_id", F.lit("good").alias("status")).union(
-        bad.select("trade_id", F.lit("bad").alias("status"))
-    )
+    path = shared_dir(spark, "quarantine")
+    write_split(ingest.with_status(messages), path)
+    parts = [spark.read.parquet(f"{path}/status={status}").select("trade_id", F.lit(status).alias("status")) for status in ("good", "bad")]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

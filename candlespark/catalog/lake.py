@@ -50,6 +50,14 @@ def land_klines(spark, folder):
     return b.rounded(lake.scan_klines(spark, root), *_SUMS)
 
 
+@query("land_daily", f"WITH {_GATED} SELECT {_LAKE}, {_PARTS} FROM gated")
+def land_daily(spark, folder):
+    """Payloads of a symbol's day each: the gate is the number of klines in the payload."""
+    root = shared_dir(spark, "lake")
+    plans.land_klines(b.daily_payloads(spark, folder), root, 24, daily=True)
+    return b.rounded(lake.scan_klines(spark, root), *_SUMS)
+
+
 @query("lake_scan_day", f"WITH {KLINES} SELECT {_LAKE}, {_PARTS} FROM klines")
 def lake_scan_day(spark, folder):
     """The day-range scan over the whole lake; single days and symbols are tested on their pruning."""

@@ -15,18 +15,18 @@ from candlespark.sinks import candle_log
 from candlespark.sources.messages import read_message_files, trades_to_json
 from candlespark.streaming import trades as jobs
 
-BATCHES = 4
+#: Micro-batches of the message files, and files of each.
+BATCHES, FILES = 4, 2
 
 
-def message_stream(spark: SparkSession, folder: str, batches: int = BATCHES) -> DataFrame:
-    """All trades as JSON message files, read as a stream in ``batches`` micro-batches.
+def message_files(spark: SparkSession, folder: str, batches: int = BATCHES) -> str:
+    """All trades as JSON message files below ``batch=N`` folders, two files to a batch, written in one pass.
 
-    A trade's batch is its id modulo ``batches``, so the batches depend on the data alone. All files are written in one
-    pass, two to a batch; their times say in which order they are read. Files hold trades of all times, so that later
-    batches correct candles of earlier ones.
+    A trade's batch is its id modulo ``batches``, so the batches depend on the data alone. The times of the files say in
+    which order they are read. Files hold trades of all times, so that later batches correct candles of earlier ones.
     """
-    path, width = shared_dir(spark, "messages"), 2
-    trades = b.trades(spark, folder).repartition(width, "trade_id")
+    path = shared_dir(spark, "messages")
+    trades = b.trades(spark, folder).repartition(FILES, "trade_id")
     messages = trades_to_json(trades, F.pmod("trade_id", F.lit(batches)).alias("batch")).select("value", "batch")
     messages.write.partitionBy("batch").text(path)
     files = spark._jvm.org.apache.hadoop.fs
@@ -34,7 +34,16 @@ def message_stream(spark: SparkSession, folder: str, batches: int = BATCHES) ->
     for batch in range(batches):
         for found in system.globStatus(files.Path(f"{path}/batch={batch}/*")):
             system.setTimes(found.getPath(), 1_000_000_000_000 + 1_000 * batch, -1)
-    return parse_trades(read_message_files(spark, f"{path}/*", files_per_trigger=width))
+    return path
+
+
+def message_stream(spark: SparkSession, folder: str, batches: int = BATCHES) -> DataFrame:
+    """The messages as a stream of ``batches`` micro-batches."""
+    return _parsed(spark, message_files(spark, folder, batches))
+
+
+def _parsed(spark: SparkSession, path: str) -> DataFrame:
+    return parse_trades(read_message_files(spark, f"{path}/*", files_per_trigger=FILES))
 
 
 def finish(*queries) -> None:
@@ -158,6 +167,35 @@ def stream_trades(spark, folder):
     return parsed.groupBy("date", "hour").agg(F.count(F.lit(1)).alias("trades"))
 
 
+@query(
+    "stream_restart",
+    f"""WITH {_MS}, {candles("tumbling")}, {sliding("sliding")},
+archive AS (SELECT symbol, time_bucket(INTERVAL '1 hour', "timestamp") AS start_time, count(*) AS trade_count FROM trades GROUP BY ALL)
+SELECT 'tumbling' AS query, symbol, start_time, close, trade_count FROM tumbling
+UNION ALL SELECT 'sliding', symbol, start_time, close, trade_count FROM sliding
+UNION ALL SELECT 'archive', symbol, start_time, NULL, trade_count FROM archive""",
+)
+def stream_restart(spark, folder):
+    """Archive, tumbling and sliding candles as three queries, ended after two batches and resumed from their checkpoints for two more."""
+    written, arrived = message_files(spark, folder), shared_dir(spark, "arrived")
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    files = spark._jvm.org.apache.hadoop.fs
+    system = files.Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(files.Path(arrived))
+    for part in (range(BATCHES // 2), range(BATCHES // 2, BATCHES)):
+        for batch in part:
+            system.rename(files.Path(f"{written}/batch={batch}"), files.Path(f"{arrived}/batch={batch}"))
+        jobs.await_all(spark, jobs.start_trade_queries(_parsed(spark, arrived), paths, available_now=True, window="1 hour", slide="30 minutes"))
+    names = ["query", "symbol", "start_time", "close", "trade_count"]
+    views = [
+        candle_log.latest_candles_view(spark, paths.data(name)).withColumn("query", F.lit(name)).select(names) for name in ("tumbling", "sliding")
+    ]
+    archive = spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("raw"))
+    counted = archive.groupBy("symbol", F.date_trunc("hour", "timestamp").alias("start_time")).agg(F.count(F.lit(1)).alias("trade_count"))
+    counted = counted.select(F.lit("archive").alias("query"), "symbol", "start_time", F.lit(None).cast("double").alias("close"), "trade_count")
+    return b.naive(views[0].unionByName(views[1]).unionByName(counted), "start_time")
+
+
 _CLOSED = f"""WITH {_MS},
 hours AS (
   SELECT *, trade_id % {BATCHES} AS batch, time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS end_time FROM trades),

@@ -12,6 +12,7 @@ from candlespark.operators.bars import ohlcv, taker_buy_quantity
 from candlespark.operators.blocks import CANDLES, Series
 from candlespark.plans import klines as kline_plans
 from candlespark.plans.prediction import next_bar_prediction as predict
+from candlespark.plans.prediction import walk_forward
 from candlespark.session import materialize
 
 _K = "symbol, open_datetime, close"
@@ -300,10 +301,41 @@ def portfolio_return(spark, folder):
 
 @query("next_bar_prediction")
 def next_bar_prediction(spark, folder):
-    """Fitted by iteration-free least squares over all candles; compared with a direct solution in the tests."""
+    """Fitted from Gram sums over all candles; compared with a direct solution in the tests, and for one lag with SQL."""
     return predict(_candles(spark, folder))
 
 
+_LAGGED = f"""{_LR}, x AS (SELECT *, lag(r) OVER (PARTITION BY symbol ORDER BY start_time) AS lag_1 FROM r),
+p AS (SELECT *, epoch_us(start_time) AS us FROM x WHERE r IS NOT NULL AND lag_1 IS NOT NULL)"""
+
+
+@query(
+    "one_lag_prediction",
+    f"""WITH {_LAGGED},
+s AS (SELECT *, us <= min(us) OVER () + CAST(floor((max(us) OVER () - min(us) OVER ()) * 0.8::DOUBLE) AS BIGINT) AS train FROM p),
+f AS (SELECT regr_intercept(r, lag_1) AS intercept, regr_slope(r, lag_1) AS lag_1 FROM s WHERE train)
+SELECT {r6('f.intercept')} AS intercept, {r6('f.lag_1')} AS lag_1, {r6('sqrt(avg((r - f.intercept - f.lag_1 * s.lag_1) ** 2))')} AS rmse
+FROM s, f WHERE NOT train GROUP BY f.intercept, f.lag_1""",
+)
+def one_lag_prediction(spark, folder):
+    return b.rounded(predict(_candles(spark, folder), lags=1), "intercept", "lag_1", "rmse")
+
+
+@query(
+    "walk_forward_prediction",
+    f"""WITH {_LAGGED}, d AS (SELECT *, us // 86400000000 AS part FROM p),
+f AS (
+  SELECT t.part, regr_intercept(d.r, d.lag_1) AS intercept, regr_slope(d.r, d.lag_1) AS lag_1, count(*) AS n_train
+  FROM (SELECT DISTINCT part FROM d) t JOIN d ON d.part < t.part GROUP BY t.part HAVING count(*) >= 4)
+SELECT part, n_train, count(*) AS n, {r6('f.intercept')} AS intercept, {r6('f.lag_1')} AS lag_1,
+  {r6('sqrt(avg((r - f.intercept - f.lag_1 * d.lag_1) ** 2))')} AS rmse
+FROM d JOIN f USING (part) GROUP BY part, n_train, f.intercept, f.lag_1""",
+)
+def walk_forward_prediction(spark, folder):
+    """Every day predicted from all days before it, with one lag."""
+    return b.rounded(walk_forward(_candles(spark, folder), lags=1), "intercept", "lag_1", "rmse")
+
+
 _WIDE_DAYS = """wide AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS start_time,
          arg_max(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_extendedprice / l_quantity)) AS close

@@ -57,17 +57,30 @@ def is_malformed(value: str = "value") -> Column:
     return parsed.isNull() | parsed["_corrupt_record"].isNotNull()
 
 
+def with_status(messages: DataFrame, value: str = "value", name: str = "status") -> DataFrame:
+    """Adds ``good`` or ``bad`` to every message, from one parse; a sink splits by it (see ``sinks.tables.write_split``)."""
+    return messages.withColumn(name, F.when(is_malformed(value), "bad").otherwise("good"))
+
+
 def quarantine(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split into readable messages and unreadable ones; every message is in exactly one part."""
+    """Split into readable messages and unreadable ones; every message is in exactly one part.
+
+    Each part parses its input. To have both from one scan and one parse, write ``with_status`` split by status.
+    """
     return messages.where(~is_malformed(value)), messages.where(is_malformed(value))
 
 
-def normalize_klines(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+def normalize_klines(payloads: DataFrame, payload: str = "payload", expected: int | None = None) -> DataFrame:
     """Kline arrays to named columns. ``payload`` is JSON text: an array of 12-item arrays.
 
-    Numeric text that does not parse becomes null. ``open_time`` stays in the payload's milliseconds.
+    Numeric text that does not parse becomes null. ``open_time`` stays in the payload's milliseconds. With ``expected`` only
+    payloads of that many klines count: the gate for payloads that hold a day each, without a shuffle.
     """
-    klines = payloads.withColumn("_k", F.explode(F.from_json(payload, schemas.KLINE_PAYLOAD)))
+    parsed = F.from_json(payload, schemas.KLINE_PAYLOAD)
+    if expected is not None:
+        # Inside the generator, where the payload is parsed once; a filter would be pushed down and parse it again.
+        parsed = F.get(F.filter(F.array(parsed), lambda klines: F.size(klines) == expected), F.lit(0))
+    klines = payloads.withColumn("_k", F.explode(parsed))
     at = {name: F.get("_k", F.lit(i)) for i, name in enumerate(schemas.KLINE_POSITIONS)}
     number = lambda name: to_double(at[name]).alias(name)
     return klines.select(

@@ -35,16 +35,22 @@ DEFAULT_LAG_DAYS = 7  # fixed value: start of a job without a mark
 # --- landing -----------------------------------------------------------------------------------------
 
 
-def lake_rows(payloads: DataFrame, expected: int = 1440, unit: str = "ms") -> DataFrame:
-    """Kline payloads to lake rows: normalised, full days only, with directory columns."""
+def lake_rows(payloads: DataFrame, expected: int = 1440, unit: str = "ms", daily: bool = False) -> DataFrame:
+    """Kline payloads to lake rows: normalised, full days only, with directory columns.
+
+    ``daily`` says that each payload holds one symbol's whole day: its number of klines is the gate then, and nothing is
+    shuffled or read twice. Otherwise the klines of a symbol and day are counted over all payloads.
+    """
+    if daily:
+        return with_lake_partitions(normalize_klines(payloads, expected=expected), unit)
     klines = normalize_klines(payloads)
     dated = klines.withColumn("_day", F.to_date(epoch_to_timestamp(F.col("open_time"), unit)))
     gated = full_day_gate(dated, day="_day", expected=expected).drop("_day")
     return with_lake_partitions(gated, unit)
 
 
-def land_klines(payloads: DataFrame, root: str, expected: int = 1440) -> None:
-    write_dynamic(lake_rows(payloads, expected), root, LAKE_KEYS)
+def land_klines(payloads: DataFrame, root: str, expected: int = 1440, daily: bool = False) -> None:
+    write_dynamic(lake_rows(payloads, expected, daily=daily), root, LAKE_KEYS)
 
 
 # --- loading -----------------------------------------------------------------------------------------

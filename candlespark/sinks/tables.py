@@ -34,3 +34,8 @@ def write_full(df: DataFrame, path: str, by: list[str]) -> None:
         .partitionBy(*by)
         .parquet(path)
     )
+
+
+def write_split(df: DataFrame, path: str, by: str = "status") -> None:
+    """Write the parts of ``df`` to a folder per value of ``by`` in one pass; a later read of one folder opens no other."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from candlespark.functions.time import is_valid_epoch, micros
 from candlespark.operators import ingest
+from candlespark.plans import klines as plans
 from candlespark.sources.messages import trades_to_json
 
 
@@ -71,6 +72,37 @@ def test_open_datetime_is_whole_seconds(spark):
     assert [r.x for r in rows] == ["22:13:20.000", "22:13:20.000"]
 
 
+def test_status_splits_in_one_pass(spark, plan):
+    from candlespark.session import shared_dir
+    from candlespark.sinks.tables import write_split
+
+    texts = ['{"stream": "a"}', "{bad", "", None, "[1]", '{"data": {}}']
+    marked = ingest.with_status(spark.createDataFrame([(t,) for t in texts], "value string"))
+    path = shared_dir(spark, "split")
+    for _ in range(2):  # a retry replaces both parts
+        write_split(marked, path)
+    good, bad = ingest.quarantine(marked)
+    for status, part in (("good", good), ("bad", bad)):
+        read = spark.read.parquet(f"{path}/status={status}").select("value")
+        assert sorted(read.collect(), key=str) == sorted(part.select("value").collect(), key=str)
+    assert good.count() + bad.count() == len(texts)
+
+
+def test_a_day_per_payload_is_gated_by_its_size(spark, plan):
+    import json
+
+    def day(symbol, n):
+        return symbol, json.dumps([[i * 60_000, *["1.5"] * 5, 0, "1", 3, "1", "1", "0"] for i in range(n)])
+
+    payloads = spark.createDataFrame([day("A", 24), day("B", 23), day("C", 25), day("D", 0), ("E", None), ("F", "{bad"), day("G", 24)], "symbol string, payload string")
+    rows = plans.lake_rows(payloads, 24, daily=True)
+    assert {(r.symbol, r["count"]) for r in rows.groupBy("symbol").count().collect()} == {("A", 24), ("G", 24)}
+    text = plan(rows)
+    assert "Exchange" not in text and text.count("from_json") == 1
+    counted = plans.lake_rows(payloads, 24)
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_full_day_gate(spark):
     days = spark.createDataFrame([("A", 1439), ("B", 1440), ("C", 1441)], "symbol string, n int")
     rows = days.select("symbol", F.lit("2024-01-01").cast("date").alias("partition_date"), F.explode(F.sequence(F.lit(1), "n")))

@@ -284,6 +284,26 @@ def test_next_bar_prediction_matches_direct_least_squares(spark):
     assert got.rmse == pytest.approx(rmse, abs=1e-9)
 
 
+def test_walk_forward_equals_a_fit_per_day(spark):
+    from candlespark.plans.prediction import lagged_returns, next_bar_prediction, walk_forward
+
+    df = spark.createDataFrame(walk(900, 22, "A", gap=0) + walk(700, 23, "B", gap=0), SCHEMA)
+    got = {r.part: r for r in walk_forward(df, "6 hours", lags=3, series=Series(block_rows=100)).collect()}
+    rows = lagged_returns(df, 3).toPandas()
+    part = (rows["start_time"] - pd.Timestamp(0)) // pd.Timedelta(hours=6)
+    x = lambda t: np.column_stack([np.ones(len(t)), *[t[f"lag_{i}"] for i in range(1, 4)]])
+    expected = [p for p in sorted(set(part)) if (part < p).sum() >= 6]
+    assert sorted(got) == expected and len(expected) > 1
+    for p in expected:
+        train, test = rows[part < p], rows[part == p]
+        beta, *_ = np.linalg.lstsq(x(train), train["log_return"], rcond=None)
+        row = got[p]
+        assert (row.n_train, row.n) == (len(train), len(test))
+        assert [row.intercept, row.lag_1, row.lag_2, row.lag_3] == pytest.approx(list(beta), abs=1e-8)
+        assert row.rmse == pytest.approx(float(np.sqrt(np.mean((x(test) @ beta - test["log_return"]) ** 2))), abs=1e-9)
+    assert next_bar_prediction(df.limit(0)).count() == 0 == walk_forward(df.limit(0)).count()
+
+
 def test_validation_counts(spark):
     data = [("A", START, 1.0, 2.0, 0.5, 1.5), ("A", START, 1.0, 0.5, 2.0, -1.0), ("B", START, None, 2.0, 0.5, 3.0)]
     df = spark.createDataFrame(data, "symbol string, start_time timestamp, open double, high double, low double, close double")
