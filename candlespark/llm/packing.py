@@ -35,11 +35,12 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes, with a cache of words.
+    """Token ids of texts as little-endian bytes.
 
-    The tokenizer always splits before a space that stands between two other characters. A text with no other
-    spaces is encoded stretch by stretch, and the stretches, mostly repeated words, are looked up. With ``ranks``, the
-    same vocabulary as merge ranks, words of plain Latin characters go a faster way to the same ids.
+    With ``ranks``, the same vocabulary as merge ranks, texts of plain Latin characters and no overlong word go whole a faster
+    way to the same ids. The others go to the tokenizer: it always splits before a space that stands between two other
+    characters, so a text with no other spaces is encoded stretch by stretch, and the stretches, mostly repeated words, are
+    looked up. A text that holds one of the tokenizer's special strings is encoded whole, as the tokenizer reads it.
     """
 
     def __init__(self, path: str, ranks: str | None = None, cache_rows: int = CACHE_ROWS):
@@ -51,9 +52,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)").search
         self.odd_space = re.compile(r" \s|\s ").search
-        self.plain = re.compile("[!-~À-ÖØ-öø-ÿ]{1,200}").fullmatch
+        self.plain = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
+        # The merges of the rank file take time with the square of a word's length.
+        self.overlong = re.compile(r"[^\t\n\r ]{201}").search
         self.fast = None
         if ranks:
             import public_tokenizers
@@ -73,24 +77,22 @@ class Encoder:
         if len(self.known) > self.cache_rows or self.held > 64 * self.cache_rows:
             self.known.clear()
             self.held = 0
-        whole, first, rest = {}, {}, {}
+        done, whole, first, rest = {}, {}, {}, {}
         for i, text in enumerate(texts):
-            if self.odd_space(text):
+            if self.special(text):
+                whole[i] = text
+            elif self.fast and self.plain(text) and not self.overlong(text):
+                done[i] = array("I", self.fast(text)).tobytes()
+            elif self.odd_space(text):
                 whole[i] = text
             else:
                 first[i], *rest[i] = text.split(" ")
         new = list(set().union(*rest.values()) - self.known.keys())
-        if self.fast:
-            plain, fast = self.plain, self.fast
-            self.known.update((w, array("I", fast(" " + w)).tobytes()) for w in new if plain(w))
-            slow = [w for w in new if w not in self.known]
-        else:
-            slow = new
-        self.known.update(zip(slow, self._ids([" " + w for w in slow])))
+        self.known.update(zip(new, self._ids([" " + w for w in new])))
         self.held += sum(map(len, new))
-        begun = dict(zip([*whole, *first], self._ids([*whole.values(), *first.values()])))
+        done.update(zip([*whole, *first], self._ids([*whole.values(), *first.values()])))
         get = self.known.__getitem__
-        return [begun[i] + b"".join(map(get, rest.get(i, ()))) for i in range(len(texts))]
+        return [done[i] + b"".join(map(get, rest.get(i, ()))) for i in range(len(texts))]
 
 
 def pieces(docs: DataFrame, path: str, ranks: str | None = None, capacity: int = CAPACITY) -> DataFrame:

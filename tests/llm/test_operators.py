@@ -196,8 +196,10 @@ def test_encoder_agrees_with_the_tokenizer():
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(byte_bpe()[0])
-    model.encode_special_tokens = True
     odd = ["", " ", "  a", "a  b", "a \n b", "x  y", "don't <|endoftext|> it's", "тест слово", "日本 語", "a\x1c b", "é é"]
+    odd += ["a <|endoftext|> b", "<|endoftext|>", "тест <|endoftext|>тест", "a\r\n\tb\n\n\n c \n", "a" * 5000, "-" * 300 + " b", "1234567 it'll I'VE don't'", "\t \t x"]
+    rng = random.Random(1)
+    odd += ["".join(rng.choice("ab é1'-_ \n\t\rsß.") for _ in range(rng.randint(1, 60))) for _ in range(3000)]
     odd += [f"{chr(c)} {chr(c)}{chr(c)}a {chr(c)}1" for c in range(1, 0x250)]
     for got, text in zip(packing.Encoder(*byte_bpe()).encode(odd), odd):
         assert got == np.asarray(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
