@@ -119,15 +119,21 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     n, good = shares.n, shares.good or 0
     prior = min((good + 1) / (n + 2), 0.99)
 
+    def below(rows: DataFrame, most: int, among: int) -> DataFrame:
+        """About twice ``most`` of ``among`` rows, by the hash that the sample is ordered by: few rows leave a task."""
+        share = min(1.0, 2 * most / max(among, 1))
+        return rows.filter(F.xxhash64("doc_id") <= F.lit(min(2**63 - 1, int(share * 2**64) - 2**63)))
+
     def sample(rows: DataFrame, most: int):
         import numpy as np
 
-        # Bounded by ``most``.
+        # Bounded by ``most``, and with ``below`` nearly so over all tasks together.
         taken = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "figures").limit(most).select("figures").toPandas().figures
         return np.stack(taken).astype("float64") if len(taken) else np.empty((0, FIGURES))
 
-    positive = sample(measured.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi"), POSITIVES)
-    unlabelled = sample(measured, UNLABELLED)
+    trusted = below(known.filter("quality = 1").select("doc_id"), POSITIVES, good)
+    positive = sample(below(measured, POSITIVES, good).join(trusted, "doc_id", "left_semi"), POSITIVES)
+    unlabelled = sample(below(measured, UNLABELLED, measured.count()), UNLABELLED)
     model = fit(positive, unlabelled, prior) if len(positive) else None
 
     def score(batches: Iterator) -> Iterator:
