@@ -349,6 +349,44 @@ def test_top_k(spark):
     assert sorted(map(tuple, got)) == sorted(expected)
 
 
+def test_top_k_of_large_components_is_exact(spark):
+    # Products beyond 2^53 that differ by a few units; 0.00390625 = 1 / 256.
+    vectors = [(0, [1e7, 1.0]), (1, [1e7, 2.0]), (2, [3e6, 0.0]), (3, [1.0, 1.0]), (4, [1e7, 2.0 + 0.00390625]), (5, [-1e7, 0.0]), (6, [1e7, 2.0])]
+    schema = "vec_id long, embedding array<double>, id string, part string, vector string, rank string, score string"
+    df = spark.createDataFrame([(i, v, "a", "b", "c", "d", "e") for i, v in vectors], schema)
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
+    scores = sorted((-sum(a * b for a, b in zip(whole[0], v)), i) for i, v in whole.items() if i)[:5]
+    got = topk_search.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(0, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    with pytest.raises(Exception, match="does not fit a 64-bit integer"):
+        topk_search.top_k(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+
+
+def test_top_k_with_buckets_out_of_reach_and_ties_on_the_threshold(spark):
+    long = [(i, [float(x) for x in np.eye(8)[i % 8] * 64]) for i in range(80)]
+    short = [(80 + i, [float(x) for x in np.full(8, 0.125 * (1 + i % 3))]) for i in range(900)]
+    got = topk_search.top_k(spark.createDataFrame(long + short, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    vectors = [(i, np.array(v) * 256) for i, v in long + short]
+    expected = []
+    for i, q in vectors:
+        if i % 50 == 0:
+            scores = sorted((-int(q @ v), j) for j, v in vectors if j != i)[:5]
+            expected += [(i, n, j, -s) for n, (s, j) in enumerate(scores, 1)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_samples_of_the_classifier_are_filtered_before_they_are_ordered(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    sizes = []
+    monkeypatch.setattr(pu_quality, "POSITIVES", 40)
+    monkeypatch.setattr(pu_quality, "UNLABELLED", 60)
+    fit = pu_quality.fit
+    monkeypatch.setattr(pu_quality, "fit", lambda p, u, prior: sizes.append((len(p), len(u))) or fit(p, u, prior))
+    scored = pu_quality.classify(docs, labels)
+    assert sizes == [(40, 60)] and scored.count() == docs.count()
+
+
 def test_classifier_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
