@@ -24,7 +24,11 @@ from candlespark.session import materialize
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 BLOCK_BITS = 8
+#: The lots of a node's units are counted by their upper bits: a row per range and node, whatever the number of units.
+LOT_BITS = 12
 LEVELS = 4
+#: Rows that a part of a shard, which one task sorts, is meant to hold, once a shard has more than 16 parts.
+SHARD_ROWS = 65_536
 
 
 def place(seed: int) -> Column:
@@ -87,14 +91,25 @@ def cuts(sized: DataFrame, goals: DataFrame) -> DataFrame:
     )
 
 
-def deal(blocks: DataFrame, seed: int, levels: int = LEVELS) -> DataFrame:
-    """Shards of the block copies ``(source, block, copies)``: an array per block, one shard per copy."""
+def deal(blocks: DataFrame, seed: int, levels: int, rows: int) -> DataFrame:
+    """Shards of the block copies ``(source, block, copies)``: an array per block, one shard per copy.
+
+    A unit's place in its node's order is its place in its lot's range plus the counts of the ranges before, so that
+    no task holds a node's units. ``rows`` documents bound the size of the tables between.
+    """
     units = blocks.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumn("node", F.lit(0))
     for level in range(levels):
-        lot = F.xxhash64(F.lit(seed), F.lit(level), "source", "block", "copy")
-        order = Window.partitionBy("node").orderBy(lot, "source", "block", "copy")
-        half = F.count("*").over(Window.partitionBy("node")) / 2
-        units = units.withColumn("node", F.col("node") * 2 + (F.row_number().over(order) > half).cast("int"))
+        drawn = units.withColumn("lot", F.xxhash64(F.lit(seed), F.lit(level), "source", "block", "copy"))
+        drawn = drawn.withColumn("lots", F.shiftright("lot", 64 - LOT_BITS).cast("int"))
+        counts = drawn.groupBy("node", "lots").agg(F.count("*").alias("n"))
+        node = Window.partitionBy("node")
+        before = F.sum("n").over(node.orderBy("lots").rowsBetween(Window.unboundedPreceding, -1))
+        counts = counts.select("node", "lots", F.coalesce(before, F.lit(0)).alias("before"), (F.sum("n").over(node) / 2).alias("half"))
+        inside = F.row_number().over(Window.partitionBy("node", "lots").orderBy("lot", "source", "block", "copy"))
+        placed = drawn.withColumn("inside", inside).join(counts, ["node", "lots"])
+        right = (F.col("before") + F.col("inside") > F.col("half")).cast("int")
+        # Written out: the next level reads the units twice.
+        units = stored(placed.select("source", "block", "copy", (F.col("node") * 2 + right).alias("node")), "mix-units", rows)
     drawn = F.transform(F.array_sort(F.collect_list(F.struct("copy", "node"))), lambda x: x["node"])
     return units.groupBy("source", "block").agg(drawn.alias("shards"))
 
@@ -107,7 +122,7 @@ def plan_mix(docs: DataFrame, seed: int = 0, levels: int = LEVELS) -> DataFrame:
     blocks = sized.select("source", block_of(F.col("place")).alias("block")).distinct()
     blocks = blocks.alias("b").join(goals.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source"))).select("b.*", "g.source_size", "g.target", "g.base", "g.cut")
     copies = F.col("base") + (F.coalesce(F.col("cut"), F.lit(-(2**63))) >= F.shiftleft(F.col("block").cast("bigint"), 64 - BLOCK_BITS)).cast("int")
-    shards = deal(blocks.select("source", "block", copies.alias("copies")).filter("copies > 0"), seed, levels)
+    shards = deal(blocks.select("source", "block", copies.alias("copies")).filter("copies > 0"), seed, levels, rows)
     same = F.col("b.source").eqNullSafe(F.col("s.source")) & (F.col("b.block") == F.col("s.block"))
     planned = blocks.alias("b").join(shards.alias("s"), same, "left").select("b.*", F.coalesce("s.shards", F.array().cast("array<int>")).alias("shards"))
     # Written out, its true size is known, and the planner may pick a broadcast for itself.
@@ -145,8 +160,10 @@ def mix_figures(docs: DataFrame, seed: int = 0) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mixed documents, a row per copy, in the columns of ``docs``; shard by shard, shuffled inside."""
     both = attach(docs, plan_mix(docs, seed), seed).filter("n_copies > 0")
+    # Parts of a shard grow in number with the rows, not in size.
+    pieces = max(16, docs.count() // (SHARD_ROWS * 2**LEVELS))
     copies = both.select("packed_row", "place", F.posexplode(F.slice("shards", F.lit(1), F.col("n_copies"))).alias("copy", "shard"))
-    shuffled = copies.repartition("shard", F.pmod(F.xxhash64("place", "copy"), F.lit(16))).sortWithinPartitions(
+    shuffled = copies.repartition("shard", F.pmod(F.xxhash64("place", "copy"), F.lit(pieces))).sortWithinPartitions(
         "shard", F.xxhash64(F.lit(seed), "shard", "place", "copy")
     )
     return shuffled.select("packed_row.*")
