@@ -268,6 +268,30 @@ def test_return_correlation_ignores_times_of_one_symbol_only(spark, stretch):
     assert ("A", "E") not in got
 
 
+@pytest.mark.parametrize("rows_to_a_tile", [1, 30, 1_000_000])
+def test_correlations_of_many_blocks_equal_those_of_one_and_shuffle_no_pairs(spark, plan, monkeypatch, rows_to_a_tile):
+    """Also for missing times, constants, large means and symbols that meet once or never."""
+    random = np.random.default_rng(12)
+    names, rows = [f"S{j}" for j in range(40)], []
+    for j, name in enumerate(names):
+        at = [*random.choice(120, 40 if j % 2 else 8, replace=False).tolist(), *([None] if j % 3 == 0 else [])]
+        rows += [(name, None if i is None else START + dt.timedelta(hours=i), 1 / 3 if j == 5 else float(random.normal() + 10.0 ** (j % 7))) for i in at]
+    df = spark.createDataFrame(rows, "symbol string, start_time timestamp, log_return double")
+    want = {(r.symbol_a, r.symbol_b): r for r in stats.return_correlation(df, stretch="1 day").collect()}
+    monkeypatch.setattr(stats, "TILE_ROWS", rows_to_a_tile)
+    many = stats.return_correlation(df, stretch="1 day", block=3)
+    if rows_to_a_tile > 30:
+        after = plan(many).split("CartesianProduct")
+        assert len(after) == 2 and "Exchange" not in after[0] and "FlatMapGroups" not in after[0]
+    got = {(r.symbol_a, r.symbol_b): r for r in many.collect()}
+    assert got.keys() == want.keys() and len(want) < 780 and any(r.common_bars == 1 for r in want.values())
+    for pair, row in got.items():
+        assert row.common_bars == want[pair].common_bars
+        assert row.correlation == (None if want[pair].correlation is None else pytest.approx(want[pair].correlation, abs=1e-8))
+    with pytest.raises(Exception, match="two values at one time|duplicate"):
+        stats.return_correlation(df.unionByName(df.where("symbol = 'S1'")), block=3).collect()
+
+
 def test_next_bar_prediction_matches_direct_least_squares(spark):
     from candlespark.plans.prediction import lagged_returns, next_bar_prediction
 
