@@ -15,35 +15,44 @@ from candlespark.sinks import candle_log
 from candlespark.sources.messages import read_message_files, trades_to_json
 from candlespark.streaming import trades as jobs
 
-#: Micro-batches of the message files, and files of each.
-BATCHES, FILES = 4, 2
+#: Micro-batches of the message files, the fewest files of each, and the trades that one task writes.
+BATCHES, FILES, FILE_TRADES = 4, 2, 250_000
 
 
-def message_files(spark: SparkSession, folder: str, batches: int = BATCHES) -> str:
-    """All trades as JSON message files below ``batch=N`` folders, two files to a batch, written in one pass.
+def message_files(spark: SparkSession, folder: str, batches: int = BATCHES) -> tuple[str, int]:
+    """All trades as JSON message files below ``batch=N`` folders, written in one pass, and the number of files to a batch.
 
     A trade's batch is its id modulo ``batches``, so the batches depend on the data alone. The times of the files say in
-    which order they are read. Files hold trades of all times, so that later batches correct candles of earlier ones.
+    which order they are read. Files hold trades of all times, so that later batches correct candles of earlier ones. Every task
+    writes a file of each batch, for which it sorts its messages: their number grows with the trades, not their size.
     """
     path = shared_dir(spark, "messages")
-    trades = b.trades(spark, folder).repartition(FILES, "trade_id")
+    trades = b.trades(spark, folder)
+    count = max(FILES, -(-trades.count() // FILE_TRADES))
+    # By more than the id: trades of one id go to one batch, but not to one task.
+    trades = trades.repartition(count, "trade_id", "symbol", "timestamp", "price", "quantity")
     messages = trades_to_json(trades, F.pmod("trade_id", F.lit(batches)).alias("batch")).select("value", "batch")
     messages.write.partitionBy("batch").text(path)
     files = spark._jvm.org.apache.hadoop.fs
     system = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for batch in range(batches):
-        for found in system.globStatus(files.Path(f"{path}/batch={batch}/*")):
-            system.setTimes(found.getPath(), 1_000_000_000_000 + 1_000 * batch, -1)
-    return path
+        names = [found.getPath().toString() for found in system.globStatus(files.Path(f"{path}/batch={batch}/*"))]
+        # A batch of few trades has fewer files: empty ones keep the next batch's files out of its micro-batch.
+        missing = [f"{path}/batch={batch}/empty-{k}" for k in range(len(names), count)] if names else []
+        for name in missing:
+            system.create(files.Path(name)).close()
+        for name in names + missing:
+            system.setTimes(files.Path(name), 1_000_000_000_000 + 1_000 * batch, -1)
+    return path, count
 
 
 def message_stream(spark: SparkSession, folder: str, batches: int = BATCHES) -> DataFrame:
     """The messages as a stream of ``batches`` micro-batches."""
-    return _parsed(spark, message_files(spark, folder, batches))
+    return _parsed(spark, *message_files(spark, folder, batches))
 
 
-def _parsed(spark: SparkSession, path: str) -> DataFrame:
-    return parse_trades(read_message_files(spark, f"{path}/*", files_per_trigger=FILES))
+def _parsed(spark: SparkSession, path: str, files: int) -> DataFrame:
+    return parse_trades(read_message_files(spark, f"{path}/*", files_per_trigger=files))
 
 
 def finish(*queries) -> None:
@@ -177,7 +186,7 @@ UNION ALL SELECT 'archive', symbol, start_time, NULL, trade_count FROM archive""
 )
 def stream_restart(spark, folder):
     """Archive, tumbling and sliding candles as three queries, ended after two batches and resumed from their checkpoints for two more."""
-    written, arrived = message_files(spark, folder), shared_dir(spark, "arrived")
+    (written, count), arrived = message_files(spark, folder), shared_dir(spark, "arrived")
     paths = jobs.StreamPaths(shared_dir(spark, "stream"))
     files = spark._jvm.org.apache.hadoop.fs
     system = files.Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -185,7 +194,7 @@ def stream_restart(spark, folder):
     for part in (range(BATCHES // 2), range(BATCHES // 2, BATCHES)):
         for batch in part:
             system.rename(files.Path(f"{written}/batch={batch}"), files.Path(f"{arrived}/batch={batch}"))
-        jobs.await_all(spark, jobs.start_trade_queries(_parsed(spark, arrived), paths, available_now=True, window="1 hour", slide="30 minutes"))
+        jobs.await_all(spark, jobs.start_trade_queries(_parsed(spark, arrived, count), paths, available_now=True, window="1 hour", slide="30 minutes"))
     names = ["query", "symbol", "start_time", "close", "trade_count"]
     views = [
         candle_log.latest_candles_view(spark, paths.data(name)).withColumn("query", F.lit(name)).select(names) for name in ("tumbling", "sliding")

@@ -197,3 +197,24 @@ def test_the_upsert_query_writes_replays_and_compacts_a_log(spark, monkeypatch):
         monkeypatch.setattr(streams.candle_log, name, lambda *a, name=name, real=real: (calls.append(name), real(*a))[1])
     rows = QUERIES["upsert_latest"](spark, "/root/testdata/sf0.001").collect()
     assert rows and calls.count("append_candle_log") == 5 and "compact" in calls and calls[-1] == "latest_candles_view"
+
+
+@pytest.mark.parametrize("ids", [range(400), [0] * 400, [1, 5, 2, *range(0, 1584, 4), 3]], ids=["apart", "one", "uneven"])
+def test_message_files_grow_in_number_not_in_size(spark, tmp_path, monkeypatch, ids):
+    """A task sorts what it writes; a micro-batch still takes exactly the files of its batch."""
+    from candlespark.catalog import streams
+
+    monkeypatch.setattr(streams, "FILE_TRADES", 50)
+    rows = [(i, n, "AB"[n % 2], START + dt.timedelta(seconds=n), float(n), '{"k": 2}') for n, i in enumerate(ids)]
+    schema = "event_id long, user_id long, event_type string, ts timestamp, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    written, count = streams.message_files(spark, str(tmp_path))
+    assert count == 8
+    sizes = spark.read.text(f"{written}/*").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == 400 and max(r["count"] for r in sizes) <= 100
+    paths = jobs.StreamPaths(shared_dir(spark, "stream"))
+    query = jobs.start_rows(streams._parsed(spark, written, count), paths.data("rows"), paths.checkpoint("rows"), available_now=True)
+    run(query)
+    batches = [sum(i % streams.BATCHES == k for i in ids) for k in range(streams.BATCHES)]
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [n for n in batches if n]
+    assert spark.read.schema(schemas.FLAT_TRADE).parquet(paths.data("rows")).count() == 400
