@@ -28,16 +28,17 @@ def message_files(spark: SparkSession, folder: str, batches: int = BATCHES) -> t
     """
     path = shared_dir(spark, "messages")
     trades = b.trades(spark, folder)
-    count = max(FILES, -(-trades.count() // FILE_TRADES))
+    tasks = max(FILES, -(-trades.count() // FILE_TRADES))
     # By more than the id: trades of one id go to one batch, but not to one task.
-    trades = trades.repartition(count, "trade_id", "symbol", "timestamp", "price", "quantity")
+    trades = trades.repartition(tasks, "trade_id", "symbol", "timestamp", "price", "quantity")
     messages = trades_to_json(trades, F.pmod("trade_id", F.lit(batches)).alias("batch")).select("value", "batch")
     messages.write.partitionBy("batch").text(path)
     files = spark._jvm.org.apache.hadoop.fs
     system = files.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for batch in range(batches):
-        names = [found.getPath().toString() for found in system.globStatus(files.Path(f"{path}/batch={batch}/*"))]
-        # A batch of few trades has fewer files: empty ones keep the next batch's files out of its micro-batch.
+    found = [[f.getPath().toString() for f in system.globStatus(files.Path(f"{path}/batch={batch}/*"))] for batch in range(batches)]
+    # As many as were written: a batch of few trades has fewer, and empty ones keep the next batch's files out of its micro-batch.
+    count = max(FILES, *map(len, found))
+    for batch, names in enumerate(found):
         missing = [f"{path}/batch={batch}/empty-{k}" for k in range(len(names), count)] if names else []
         for name in missing:
             system.create(files.Path(name)).close()
