@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -292,6 +293,50 @@ def test_correlations_of_many_blocks_equal_those_of_one_and_shuffle_no_pairs(spa
         stats.return_correlation(df.unionByName(df.where("symbol = 'S1'")), block=3).collect()
 
 
+def test_many_pairs_are_finished_where_they_are_made(spark, plan, tmp_path):
+    """Nothing is computed behind the product, not even the rounding, and all rows equal the SQL."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    path = f"{tmp_path}/lineitem.parquet"
+    duckdb.sql(f"""COPY (
+        SELECT i % 1100 AS l_suppkey, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (hash(i) % 9)::INT AS l_shipdate, 1.0 + i % 7 AS l_quantity,
+               CASE WHEN i % 1100 = 5 THEN l_quantity ELSE (hash(i, 1) % 100000)::DOUBLE END AS l_extendedprice
+        FROM range(7700) r(i)) TO '{path}' (FORMAT parquet)""")
+    df = queries()["sparse_correlation"](spark, str(tmp_path))
+    text = plan(df)
+    assert "MapInArrow" in text and "CartesianProduct" in text
+    assert not re.search("round|sqrt|rint", text.split("MapInArrow")[0], re.IGNORECASE)
+    got = df.toArrow()  # noqa: F841
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}'")
+    con.execute(f"CREATE TABLE want AS {oracle_sql()['sparse_correlation']}")
+    con.register("got", got)
+    rows, bars, apart, nulls, single = con.execute("""
+        SELECT count(*) FILTER (w.symbol_a IS NULL OR g.symbol_a IS NULL), count(*) FILTER (w.common_bars <> g.common_bars),
+               count(*) FILTER (w.correlation IS DISTINCT FROM g.correlation AND coalesce(abs(w.correlation - g.correlation) > 2e-6, true)),
+               count(*) FILTER (g.correlation IS NULL), count(*) FILTER (g.common_bars = 1)
+        FROM want w FULL JOIN got g USING (symbol_a, symbol_b)""").fetchone()
+    assert (rows, bars, apart) == (0, 0, 0) and nulls > single > 0 and got.num_rows > 500_000
+
+
+@pytest.mark.parametrize("wide", [1, 3])
+def test_wide_tiles_hold_each_pair_once_and_are_packed_once(spark, monkeypatch, wide):
+    random = np.random.default_rng(4)
+    rows = [(f"S{j}", START + dt.timedelta(hours=int(i)), float(random.normal())) for j in range(30) for i in random.choice(60, 30, replace=False)]
+    df = spark.createDataFrame(rows, "symbol string, start_time timestamp, log_return double")
+    written, real = [], stats.materialize
+    monkeypatch.setattr(stats, "materialize", lambda df, name: (written.append(name), real(df, name))[1])
+    monkeypatch.setattr(stats, "MANY_TILES", 3)
+    monkeypatch.setattr(stats, "WIDE_TILE", wide)
+    want = {(r.symbol_a, r.symbol_b): r for r in stats.return_correlation(df, digits=3, shift=1e-8).collect()}
+    got = stats.return_correlation(df, block=2, digits=3, shift=1e-8)
+    rows = got.collect()
+    assert written == ["correlation-returns", "correlation-returns", "correlation-tiles"]
+    assert len(rows) == len(want) == 435 and {(r.symbol_a, r.symbol_b): r for r in rows} == want
+
+
 def test_next_bar_prediction_matches_direct_least_squares(spark):
     from candlespark.plans.prediction import lagged_returns, next_bar_prediction
 
